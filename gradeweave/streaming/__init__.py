@@ -1,0 +1 @@
+"""Empty on purpose: grade reports are read once, as a batch, so there is nothing to stream."""
