@@ -25,28 +25,77 @@ def earlier_blocks():
     return Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
 
 
-def last_seen(df: DataFrame, values: dict[str, Column], strict: bool = False) -> DataFrame:
-    """Add, per name, the last non-NULL value in file order at the current row (``strict``: before it)."""
-    local = df.withColumns(values)
-    handed = local.groupBy(*BLOCK).agg(*[
-        F.max_by(n, F.when(F.col(n).isNotNull(), F.col("pos"))).alias(n) for n in values
-    ])
-    carried = handed.select(*BLOCK, *[F.last(n, ignorenulls=True).over(earlier_blocks()).alias(f"_{n}") for n in values])
-    running = local.withColumns({n: F.last(n, ignorenulls=True).over(in_block(strict)) for n in values})
+def carry_forward(
+    df: DataFrame,
+    last: dict[str, Column] | None = None,
+    counts: dict[str, Column] | None = None,
+    strict: bool = False,
+) -> DataFrame:
+    """Add running values in file order.
+
+    ``last`` adds the latest non-NULL value per name, at the current row or (``strict``)
+    before it; ``counts`` adds how many rows met a condition so far, the current one included.
+    """
+    last, counts = last or {}, counts or {}
+    local = df.withColumns({**last, **{n: F.when(c, F.lit(1)).otherwise(F.lit(0)).cast("bigint") for n, c in counts.items()}})
+    handed = local.groupBy(*BLOCK).agg(
+        *[F.max_by(n, F.when(F.col(n).isNotNull(), F.col("pos"))).alias(n) for n in last],
+        *[F.sum(n).alias(n) for n in counts],
+    )
+    carried = handed.select(
+        *BLOCK,
+        *[F.last(n, ignorenulls=True).over(earlier_blocks()).alias(f"_{n}") for n in last],
+        *[F.coalesce(F.sum(n).over(earlier_blocks()), F.lit(0)).alias(f"_{n}") for n in counts],
+    )
+    running = local.withColumns({
+        **{n: F.last(n, ignorenulls=True).over(in_block(strict)) for n in last},
+        **{n: F.sum(n).over(in_block()) for n in counts},
+    })
     return (
         running.join(carried, BLOCK)
-        .withColumns({n: F.coalesce(F.col(n), F.col(f"_{n}")) for n in values})
-        .drop(*[f"_{n}" for n in values])
+        .withColumns({
+            **{n: F.coalesce(F.col(n), F.col(f"_{n}")) for n in last},
+            **{n: F.col(n) + F.col(f"_{n}") for n in counts},
+        })
+        .drop(*[f"_{n}" for n in [*last, *counts]])
     )
 
 
-def running_count(df: DataFrame, name: str, condition: Column) -> DataFrame:
-    """Add the number of rows meeting ``condition`` in file order, the current row included."""
-    marked = df.withColumn(name, F.when(condition, F.lit(1)).otherwise(F.lit(0)).cast("bigint"))
-    before = marked.groupBy(*BLOCK).agg(F.sum(name).alias("_n")).select(
-        *BLOCK, F.coalesce(F.sum("_n").over(earlier_blocks()), F.lit(0)).alias("_before"))
-    local = marked.withColumn(name, F.sum(name).over(in_block()))
-    return local.join(before, BLOCK).withColumn(name, F.col(name) + F.col("_before")).drop("_before")
+def state_before(df: DataFrame, if_off: Column, if_on: Column, name: str) -> DataFrame:
+    """Add ``name``: an on/off state before each row, off at the start of a file.
+
+    A row turns the state into ``if_off`` or ``if_on``, depending on what it was. Up to any
+    row these steps come to one of four: set, clear, keep or flip. So the last row that sets
+    or clears, and the number of flips since, give the outcome for both starting states.
+    """
+    local = _outcomes(df.withColumns({"_if_off": if_off, "_if_on": if_on}), in_block())
+    blocks = local.groupBy(*BLOCK).agg(F.max_by(F.struct("_end_off", "_end_on"), "pos").alias("_b")).select(
+        *BLOCK, F.col("_b._end_off").alias("_if_off"), F.col("_b._end_on").alias("_if_on"))
+    per_file = Window.partitionBy("file").orderBy("block")
+    start = F.lag("_end_off", 1, False).over(per_file).alias("_start")
+    starts = _outcomes(blocks, per_file.rowsBetween(Window.unboundedPreceding, 0)).select(*BLOCK, start)
+    after = F.when(F.col("_start"), F.col("_end_on")).otherwise(F.col("_end_off"))
+    previous = F.lag("_after").over(Window.partitionBy(*BLOCK).orderBy("pos"))
+    return (
+        local.join(starts, BLOCK).withColumn("_after", after)
+        .withColumn(name, F.coalesce(previous, F.col("_start")))
+        .drop("_if_off", "_if_on", "_end_off", "_end_on", "_start", "_after")
+    )
+
+
+def _outcomes(df: DataFrame, window) -> DataFrame:
+    off, on = F.col("_if_off"), F.col("_if_on")
+    flips = F.sum(F.when(off & ~on, F.lit(1)).otherwise(F.lit(0))).over(window)
+    fixed = F.last(F.when(off == on, F.struct(off.alias("state"), F.col("_flips").alias("flips"))), ignorenulls=True)
+    odd = (F.col("_flips") - F.coalesce(F.col("_fixed.flips"), F.lit(0))) % 2 == 1
+    return (
+        df.withColumn("_flips", flips).withColumn("_fixed", fixed.over(window))
+        .withColumns({
+            "_end_off": F.coalesce(F.col("_fixed.state"), F.lit(False)) != odd,
+            "_end_on": F.coalesce(F.col("_fixed.state"), F.lit(True)) != odd,
+        })
+        .drop("_flips", "_fixed")
+    )
 
 
 def number_rows(df: DataFrame, keys: Sequence[str], order: str, name: str, width: int = 65536) -> DataFrame:
