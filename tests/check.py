@@ -22,6 +22,7 @@ def session(cpus: str = "8") -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]").appName("gradeweave")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
