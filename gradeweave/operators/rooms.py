@@ -27,16 +27,36 @@ def bookings(course: DataFrame, meeting: DataFrame, daytime: DataFrame, term_suf
 def conflicting_bookings(booked: DataFrame) -> DataFrame:
     """Bookings that overlap, in the same place, a higher-numbered course held by another instructor.
 
-    Bookings are never paired with each other. Each slot's overlapping bookings are reduced
-    to the two highest course numbers under distinct instructors: whichever instructor a
-    booking has, one of the two tells whether it has a partner. Instructors of one course in
-    one slot collapse to their first and last name, enough to know if there is another one.
+    Bookings are never paired with each other. Slots that start before they end overlap
+    exactly when they share a minute, and per place and minute two rivals are enough: the
+    highest course numbers under distinct instructors. Whichever instructor a booking has,
+    one of the two tells whether it has a partner. So every booking looks up its minutes,
+    at most a day's, in a table with one row per place and minute.
+
+    Instructors of one course in one slot are kept as first and last name, which is enough
+    to know if there is another one. ``booked`` is read several times: pass a stored table.
     """
-    rivals = _slot_rivals(booked)
     units = _units(booked)
-    rival = F.when((F.col("first_name") != F.col("last_name")) | (F.col("name_1") != F.col("first_name")),
-                   F.col("crse_1")).otherwise(F.col("crse_2"))
-    return units.join(rivals, [*PLACE, *SLOT]).where(rival > F.col("crse")).select(units.columns)
+    forward = F.col("st") < F.col("en")
+    minute = F.explode(F.sequence(F.col("st"), F.col("en") - 1)).alias("minute")
+    first, second = F.col("rank") == 1, F.col("rank") == 2
+    covering = (
+        _two_rivals(booked.where(forward).select(*PLACE, "full_name", "crse", minute), [*PLACE, "minute"])
+        .groupBy(*PLACE, "minute").agg(
+            F.max(F.when(first, F.col("crse"))).alias("crse_1"),
+            F.max(F.when(first, F.col("full_name"))).alias("name_1"),
+            F.max(F.when(second, F.col("crse"))).alias("crse_2"),
+        )
+    )
+    several = F.col("first_name") != F.col("last_name")
+    rival = F.when(several | (F.col("name_1") != F.col("first_name")), F.col("crse_1")).otherwise(F.col("crse_2"))
+    found = (
+        units.where(forward).select("*", minute).join(covering, [*PLACE, "minute"])
+        .where(rival > F.col("crse")).select(units.columns)
+    )
+    if not booked.where(~forward).isEmpty():
+        found = found.unionByName(_backward_conflicts(booked, units))
+    return found.distinct()
 
 
 def conflict_terms(conflicting: DataFrame) -> DataFrame:
@@ -142,50 +162,33 @@ def _units(booked: DataFrame) -> DataFrame:
         F.min("full_name").alias("first_name"), F.max("full_name").alias("last_name"))
 
 
-def _slot_rivals(booked: DataFrame) -> DataFrame:
-    """Per (place, slot): the two highest course numbers under distinct instructors among overlapping bookings.
+def _backward_conflicts(booked: DataFrame, units: DataFrame) -> DataFrame:
+    """Conflicts in which one slot ends before it starts, as entered: such slots share no minute.
 
-    Two slots that start before they end overlap exactly when they share a minute, so the
-    overlap becomes an equi-join on the minute, at most a day's minutes per slot. Slots that
-    end before they start (times as entered) share no minute; those few are compared slot by
-    slot under the same two inequalities.
+    The overlap is then taken by its two inequalities, between bookings and the two rivals
+    of each slot on the other side.
     """
-    slots = booked.select(*PLACE, *SLOT).distinct()
-    best = _two_rivals(booked, [*PLACE, *SLOT])
     forward = F.col("st") < F.col("en")
-    minute = F.explode(F.sequence(F.col("st"), F.col("en") - 1)).alias("minute")
+    rivals = _two_rivals(booked, [*PLACE, *SLOT]).select(
+        *PLACE, F.col("st").alias("st2"), F.col("en").alias("en2"),
+        F.col("full_name").alias("name2"), F.col("crse").alias("crse2"))
+    other_forward = F.col("st2") < F.col("en2")
+    meets: Column = (F.col("st2") < F.col("en")) & (F.col("en2") > F.col("st"))
+    other_name = (F.col("first_name") != F.col("name2")) | (F.col("last_name") != F.col("name2"))
+    sides = [(~forward, other_forward), (forward, ~other_forward)]
+    pairs = [units.where(mine).join(rivals.where(theirs), PLACE) for mine, theirs in sides]
+    return pairs[0].unionByName(pairs[1]).where(
+        meets & other_name & (F.col("crse2") > F.col("crse"))).select(units.columns)
 
-    covering = _two_rivals(best.where(forward).select(*PLACE, "full_name", "crse", minute), [*PLACE, "minute"])
-    by_minute = slots.where(forward).select(*PLACE, *SLOT, minute).join(covering, [*PLACE, "minute"])
 
-    def by_times(viewers: DataFrame, others: DataFrame) -> DataFrame:
-        others = others.withColumnsRenamed({"st": "st2", "en": "en2"})
-        meets: Column = (F.col("st2") < F.col("en")) & (F.col("en2") > F.col("st"))
-        return viewers.join(others, PLACE).where(meets)
-
-    columns = [*PLACE, *SLOT, "full_name", "crse"]
-    seen = (
-        by_minute.select(columns)
-        .unionByName(by_times(slots.where(forward), best.where(~forward)).select(columns))
-        .unionByName(by_times(slots.where(~forward), best.where(forward)).select(columns))
-    )
-    first, second = F.col("rank") == 1, F.col("rank") == 2
-    return _two_rivals(seen, [*PLACE, *SLOT], "rank").groupBy(*PLACE, *SLOT).agg(
-        F.max(F.when(first, F.col("crse"))).alias("crse_1"),
-        F.max(F.when(first, F.col("full_name"))).alias("name_1"),
-        F.max(F.when(second, F.col("crse"))).alias("crse_2"),
-    )
-
-
-def _two_rivals(df: DataFrame, keys: list[str], rank: str | None = None) -> DataFrame:
-    """The two instructors with the highest course numbers per ``keys``.
+def _two_rivals(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The two instructors with the highest course numbers per ``keys``, ranked.
 
     Partial maxima and Spark's early top-k keep a crowded group to two rows per task before
     it is shuffled as one group.
     """
     order = Window.partitionBy(*keys).orderBy(F.col("crse").desc(), "full_name")
-    top = (
+    return (
         df.groupBy(*keys, "full_name").agg(F.max("crse").alias("crse"))
         .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= 2)
     )
-    return top if rank else top.drop("rank")

@@ -25,18 +25,22 @@ class Gradebook(Protocol):
 
 @dataclass(frozen=True)
 class RoomPlan:
-    """Room reports share the conflict terms and the peaks built on them."""
+    """Room reports share the conflict terms and the peaks built on them.
+
+    Bookings and conflicts are staged: both are small next to enrolments and read by
+    several steps.
+    """
 
     book: Gradebook
     enroll: DataFrame
 
     @cached_property
     def booked(self) -> DataFrame:
-        return rooms.bookings(self.book.course, self.book.meeting, self.book.daytime)
+        return stage(rooms.bookings(self.book.course, self.book.meeting, self.book.daytime), "bookings")
 
     @cached_property
     def conflicting(self) -> DataFrame:
-        return rooms.conflicting_bookings(self.booked)
+        return stage(rooms.conflicting_bookings(self.booked), "conflicting")
 
     @cached_property
     def conflicts(self) -> DataFrame:
