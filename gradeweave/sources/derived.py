@@ -82,8 +82,8 @@ class Derived:
             (sid % 5 == 0) & (F.col("yr") >= 1998), F.concat(F.lit("ABC"), (sid % 3).cast("string"))
         ).otherwise(F.concat(F.substring("seg", 1, 3), F.lit("1")))
         return (
-            self.base.groupBy("sid", "term", "cid")
-            .agg(F.min("yr").alias("yr"), F.min("seg").alias("seg"), F.min("k").alias("k"))
+            self.base.groupBy("sid", "seg", "term", "yr", "cid")  # a student has one segment, a term one year
+            .agg(F.min("k").alias("k"))
             .select(*self._enroll_columns(k, sid, grades, major), sid.alias("seat"))
         )
 

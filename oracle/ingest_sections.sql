@@ -7,5 +7,7 @@ FROM (
                                                     UNION ALL SELECT term, unnest([9990, 9990]) FROM ends
                                                     UNION ALL SELECT term, cid FROM course WHERE idx%4 = 0)
   UNION ALL SELECT term, cid, 'SEAT' FROM enroll
+  UNION ALL SELECT term, 9990, 'SEAT' FROM ends
+  UNION ALL SELECT term, 0, NULL FROM ends
 )
 GROUP BY ALL

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from gradeweave.__main__ import main
 from gradeweave.operators import gpa
 from gradeweave.plans.reports import RoomPlan, fixed_reports
 from gradeweave.plans.setup import load_reports, table_quality
@@ -47,3 +48,14 @@ def test_terms_are_pruned(spark, tmp_path):
     plan = RoomPlan(stored, stored.enroll).open_rooms("200101", 1, 2, capacity=stored.roomcap)
     text = plan._jdf.queryExecution().optimizedPlan().toString() + plan._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(term" in text
+
+
+def test_command_line(spark, tmp_path, capsys):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text(report("200101", [(1, 3)]) + report("200103", [(2, 9)]))
+    root = str(tmp_path / "tables")
+    main(["setup", str(tmp_path / "in"), root])
+    main(["reports", root])
+    main(["open-rooms", root, "200101", "1", "2"])
+    shown = capsys.readouterr().out
+    assert "instructor_extremes" in shown and "|  HAL|   2|  9|     3|" in shown
