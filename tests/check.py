@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import os
 import sys
 import time
@@ -47,8 +46,6 @@ def table(columns: list[str], rows: list) -> list[tuple]:
 
 
 def same(a, b) -> bool:
-    if isinstance(a, float) and isinstance(b, float):
-        return math.isclose(a, b, rel_tol=1e-12, abs_tol=1e-12)
     return type(a) is type(b) and a == b
 
 
