@@ -6,15 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gradeweave.llm import langid, mixing, slots
+from gradeweave.llm import langid, leaks, mixing, rules, slots
 
 
-def _documents(operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: operator(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+def _documents(operator: Callable[..., DataFrame], *others: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: operator(spark.read.parquet(f"{sf_dir}/documents.parquet"), *[
+        spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in others])
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_quality_rules": _documents(rules.quality_rules, "labels"),
+        "op3_decontamination": _documents(leaks.contamination, "benchmark"),
         "op4_language_id": _documents(langid.languages),
         "op5_sharding": _documents(slots.shard),
         "op10_mixing": _documents(mixing.mix),
@@ -22,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_mixing": mixing.SQL}
+    return {"op3_decontamination": leaks.SQL, "op10_mixing": mixing.SQL}
