@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gradeweave.llm import langid, leaks, mixing, rules, slots
+from gradeweave.llm import langid, leaks, mixing, neardup, rules, slots
 
 
 def _documents(operator: Callable[..., DataFrame], *others: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -20,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_decontamination": _documents(leaks.contamination, "benchmark"),
         "op4_language_id": _documents(langid.languages),
         "op5_sharding": _documents(slots.shard),
+        "op7_near_duplicates": _documents(neardup.near_duplicates),
         "op10_mixing": _documents(mixing.mix),
     }
 
