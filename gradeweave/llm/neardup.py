@@ -151,7 +151,7 @@ def word_weights(texts: DataFrame) -> np.ndarray:
     total = counts.pop(-1, 0)
     df = np.zeros(WORD_BUCKETS)
     df[list(counts)] = list(counts.values())
-    return np.log1p(total / (1 + df)) + 1e-3
+    return np.log((1 + total) / (1 + df)) + 1
 
 
 def signatures(texts: DataFrame, idf: Broadcast) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gradeweave.llm import langid, leaks, mixing, neardup, rules, slots
+from gradeweave.llm import langid, leaks, mixing, neardup, ppm, rules, slots
 
 
 def _documents(operator: Callable[..., DataFrame], *others: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_language_id": _documents(langid.languages),
         "op5_sharding": _documents(slots.shard),
         "op7_near_duplicates": _documents(neardup.near_duplicates),
+        "op9_lm_scores": _documents(ppm.language_model_scores),
         "op10_mixing": _documents(mixing.mix),
     }
 
