@@ -11,8 +11,11 @@ import numpy as np
 SAMPLE_STEP = 8
 
 
-def suffix_order(text: np.ndarray) -> np.ndarray:
-    """Sorted suffixes of a sequence whose last symbol is smaller than all others and occurs once. Prefix doubling."""
+def suffix_order(text: np.ndarray, depth: int | None = None) -> np.ndarray:
+    """Sorted suffixes of a sequence, by prefix doubling; with ``depth``, by their first ``depth`` symbols at least.
+
+    A suffix that another one begins with comes first.
+    """
     n = len(text)
     _, rank = np.unique(text, return_inverse=True)
     rank = rank.astype(np.int64)
@@ -25,7 +28,7 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
         new = np.ones(n, np.int64)
         new[1:] = key[order[1:]] != key[order[:-1]]
         rank[order] = np.cumsum(new) - 1
-        if rank[order[-1]] == n - 1 or width >= n:
+        if rank[order[-1]] == n - 1 or width >= (depth or n):
             return order
         width *= 2
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gradeweave.llm import langid, leaks, mixing, neardup, ppm, rules, slots
+from gradeweave.llm import langid, leaks, mixing, neardup, ppm, repeats, rules, slots
 
 
 def _documents(operator: Callable[..., DataFrame], *others: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -16,6 +16,7 @@ def _documents(operator: Callable[..., DataFrame], *others: str) -> Callable[[Sp
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_suffix_dedup": _documents(repeats.suffix_dedup),
         "op2_quality_rules": _documents(rules.quality_rules, "labels"),
         "op3_decontamination": _documents(leaks.contamination, "benchmark"),
         "op4_language_id": _documents(langid.languages),
