@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gradeweave.llm import langid, leaks, mixing, neardup, ppm, repeats, rules, slots
+from gradeweave.llm import langid, leaks, mixing, neardup, ppm, repeats, rules, secrets, sites, slots
 
 
 def _documents(operator: Callable[..., DataFrame], *others: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -21,7 +21,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_decontamination": _documents(leaks.contamination, "benchmark"),
         "op4_language_id": _documents(langid.languages),
         "op5_sharding": _documents(slots.shard),
+        "op6_site_quality": _documents(sites.site_quality, "labels"),
         "op7_near_duplicates": _documents(neardup.near_duplicates),
+        "op8_secret_scan": _documents(secrets.secret_scan),
         "op9_lm_scores": _documents(ppm.language_model_scores),
         "op10_mixing": _documents(mixing.mix),
     }
