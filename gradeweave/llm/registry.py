@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from gradeweave.llm import langid, leaks, mixing, neardup, ppm, repeats, rules, secrets, sites, slots
 
 
@@ -26,6 +27,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secret_scan": _documents(secrets.secret_scan),
         "op9_lm_scores": _documents(ppm.language_model_scores),
         "op10_mixing": _documents(mixing.mix),
+        "pipeline": corpus_pipeline.run,
     }
 
 
