@@ -40,16 +40,17 @@ def unit_load_share(
     )
 
 
-def gpa_by_unit_load(enroll: DataFrame, denominator: str = "reference", loads: tuple[int, int] = LOADS) -> DataFrame:
+def gpa_by_unit_load(enroll: DataFrame, denominator: str = "report", loads: tuple[int, int] = LOADS) -> DataFrame:
     """GPA by a student's total units in a term, all subjects.
 
-    ``denominator="reference"`` divides by graded units plus the number of enrolments (a
+    ``denominator="report"`` divides by graded units plus the number of enrolments (a
     GPA that is too low, kept because it is the report's definition); ``"units"`` divides
-    by graded units only. All parts add up per student, so no join back is needed.
+    by graded units only. All parts add up per student, so no join back is needed. Rows of
+    unknown students are left out: they are not one student.
     """
-    if denominator not in ("reference", "units"):
-        raise ValueError(f"denominator must be 'reference' or 'units', not {denominator!r}")
-    students = enroll.groupBy("term", "sid").agg(
+    if denominator not in ("report", "units"):
+        raise ValueError(f"denominator must be 'report' or 'units', not {denominator!r}")
+    students = enroll.where(F.col("sid").isNotNull()).groupBy("term", "sid").agg(
         F.sum("units_gained").alias("units"),
         F.count("*").alias("enrolments"),
         *gpa_sums(F.col("grade"), F.col("units_gained")),
@@ -58,7 +59,7 @@ def gpa_by_unit_load(enroll: DataFrame, denominator: str = "reference", loads: t
         F.sum("tenths").alias("tenths"), F.sum("graded_units").alias("graded"), F.sum("enrolments").alias("enrolments")
     )
     weight = F.coalesce(F.col("graded"), F.lit(0))
-    if denominator == "reference":
+    if denominator == "report":
         weight = weight + F.coalesce(F.col("enrolments"), F.lit(0))
     gpa = F.try_divide(F.coalesce(F.col("tenths"), F.lit(0)).cast("double"), weight * F.lit(10.0))
     return _all_loads(enroll, loads).join(totals, "units", "left").select(

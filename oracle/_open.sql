@@ -1,14 +1,13 @@
-candidate AS (
-  SELECT r.build AS ebuild, r.room AS eroom, r.capacity, p.build AS fbuild, p.room AS froom, p.peak AS filled
-  FROM roomcap r, peak p
-  WHERE p.term = '200101' AND r.capacity >= p.peak + 5
-    AND concat(r.build, r.room) NOT IN (SELECT concat(m.build, m.room) FROM meeting m, course c
-                                        WHERE m.term = c.term AND m.cid = c.cid AND c.term = '200101')
+-- The course's rooms with their fullest moment in the term; the fullest that the largest free room could take decides.
+busy AS (SELECT DISTINCT build, room FROM meeting WHERE term = '200101'),
+free AS (SELECT build, room, capacity FROM roomcap ANTI JOIN busy USING (build, room) WHERE capacity IS NOT NULL),
+held_in AS (
+  SELECT p.peak AS seats FROM meeting JOIN peak p USING (term, build, room) WHERE term = '200101' AND cid = 10041
+),
+needed AS (
+  SELECT seats, count(*) AS times FROM held_in
+  WHERE seats + 5 <= (SELECT max(capacity) FROM free) GROUP BY seats ORDER BY seats DESC LIMIT 1
 ),
-home AS (SELECT m.build, m.room FROM meeting m, course c
-         WHERE m.term = c.term AND m.cid = c.cid AND c.term = '200101' AND c.cid = 10041),
 opened AS (
-  SELECT ebuild AS build, eroom AS room, capacity AS cap, filled
-  FROM candidate, home WHERE home.build = fbuild AND home.room = froom
-    AND filled = (SELECT max(filled) FROM candidate, home WHERE home.build = fbuild AND home.room = froom)
+  SELECT build, room, capacity AS cap, seats AS filled FROM free, needed, range(times) WHERE capacity - 5 >= seats
 )

@@ -1,10 +1,20 @@
-ce AS (SELECT c.term, subj, crse, sid FROM course c, enroll e WHERE c.cid = e.cid AND c.term = e.term),
+-- One list of (term, course) per student; who took a course before a target is read off the lists.
+history AS (
+  SELECT sid, list(DISTINCT {'term': term, 'course': subj || ' ' || crse}) AS steps
+  FROM enroll JOIN course USING (term, cid) GROUP BY sid
+),
+target AS (SELECT unnest(['203', '210', '222']) AS number),
+attempt AS (
+  SELECT sid, steps, number, list_max([s.term FOR s IN steps IF s.course = 'ABC ' || number]) AS latest
+  FROM history, target
+),
+earlier AS (
+  SELECT number, unnest(list_distinct([s.course FOR s IN steps IF s.term < latest])) AS taken
+  FROM attempt WHERE latest IS NOT NULL
+),
+takers AS (SELECT number, count(*) AS students FROM attempt WHERE latest IS NOT NULL GROUP BY number),
 prereq AS (
-  SELECT target_subj, target_crse, n.subj, n.crse, n.numer / d.denom AS share
-  FROM (SELECT a.subj AS target_subj, a.crse AS target_crse, b.subj, b.crse, count(DISTINCT b.sid) AS numer
-        FROM ce a, ce b
-        WHERE a.subj = 'ABC' AND a.crse IN ('203', '210', '222') AND a.sid = b.sid AND a.term > b.term
-        GROUP BY ALL) n
-  JOIN (SELECT subj AS target_subj, crse AS target_crse, CAST(count(DISTINCT sid) AS DOUBLE) AS denom
-        FROM ce WHERE subj = 'ABC' AND crse IN ('203', '210', '222') GROUP BY ALL) d USING (target_subj, target_crse)
+  SELECT 'ABC' AS target_subj, number AS target_crse, split_part(taken, ' ', 1) AS subj, split_part(taken, ' ', 2) AS crse,
+         count(*)::DOUBLE / any_value(students) AS share
+  FROM earlier JOIN takers USING (number) GROUP BY number, taken
 )

@@ -1 +1 @@
-SELECT DISTINCT term, build, room, "day", st, en, subj1 AS subj, crse1 AS crse FROM pairs
+SELECT term, build, room, "day", st, en, subj, crse FROM clash

@@ -74,6 +74,14 @@ def test_unit_loads(spark):
         loads.gpa_by_unit_load(e, "rows")
 
 
+def test_unknown_students_are_not_one_student(spark):
+    enroll = [(None, "t1", 1, 3, "A", "M"), (None, "t1", 1, 2, "F", "M"), (1, "t1", 1, 5, "B", "M")]
+    e, c, _ = frames(spark, enroll, COURSES)
+    assert dict(rows(loads.gpa_by_unit_load(e, "units")))[5] == 3
+    assert dict(rows(loads.unit_load_share(e, c)))[5] == 1
+
+
+
 def test_histories_by_brute_force(spark):
     rng = random.Random(3)
     course = [(t, c, s, n) for t in "abcd" for c, (s, n) in enumerate([("ABC", "203"), ("ABC", "210"), ("GHI", "1"), ("DEF", "2")])]
