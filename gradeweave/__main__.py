@@ -1,7 +1,7 @@
-"""Command line: set up the stored relations, print all fixed reports, search open rooms.
+"""Command line: set up the stored relations, write all fixed reports, search open rooms.
 
-    python -m gradeweave setup REPORTS ROOT
-    python -m gradeweave reports ROOT
+    python -m gradeweave setup REPORTS ROOT [--go-on]
+    python -m gradeweave reports ROOT OUT [--print]
     python -m gradeweave open-rooms ROOT TERM CID EXTRA
 """
 
@@ -9,11 +9,11 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from gradeweave.operators.rooms import smallest_rooms
 from gradeweave.plans.reports import RoomPlan, fixed_reports
-from gradeweave.plans.setup import load_reports, table_quality
+from gradeweave.plans.setup import issue_counts, load_reports, table_quality
 from gradeweave.sources.tables import Stored
 
 
@@ -23,7 +23,11 @@ def main(argv: list[str] | None = None) -> None:
     setup = commands.add_parser("setup", help="read report files, store the relations and room capacities")
     setup.add_argument("reports")
     setup.add_argument("root")
-    commands.add_parser("reports", help="print every fixed report").add_argument("root")
+    setup.add_argument("--go-on", action="store_true", help="leave out records whose quotes are never closed")
+    reports = commands.add_parser("reports", help="write every fixed report, whole")
+    reports.add_argument("root")
+    reports.add_argument("out", help="folder: each report is a CSV folder in it")
+    reports.add_argument("--print", action="store_true", help="print all their rows, too")
     rooms = commands.add_parser("open-rooms", help="the five smallest rooms a course could move to")
     rooms.add_argument("root")
     rooms.add_argument("term")
@@ -33,17 +37,28 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = SparkSession.builder.appName("gradeweave").getOrCreate()
     if args.command == "setup":
-        stored = load_reports(spark, args.reports, args.root)
-        table_quality(stored).where("violations > 0").show(100, truncate=False)
+        stored = load_reports(spark, args.reports, args.root, args.go_on)
+        _print("issues", issue_counts(stored))
+        _print("violations", table_quality(stored).where("violations > 0"))
     elif args.command == "reports":
         for name, report in fixed_reports(Stored(spark, args.root)).items():
-            print(name)
-            report().show(100, truncate=False)
+            path = f"{args.out}/{name}"
+            report().write.mode("overwrite").option("header", True).csv(path)
+            if args.print:
+                _print(name, report())
     else:
         stored = Stored(spark, args.root)
         plan = RoomPlan(stored, stored.enroll)
         smallest_rooms(plan.open_rooms(args.term, args.cid, args.extra, capacity=stored.roomcap)).show()
 
 
+def _print(name: str, df: DataFrame) -> None:
+    """All rows, one partition at a time."""
+    print(name)
+    print("\t".join(df.columns))
+    for row in df.toLocalIterator():
+        print("\t".join("" if v is None else str(v) for v in row))
+
+
 if __name__ == "__main__":
     main()

@@ -13,16 +13,24 @@ TARGETS = (("ABC", "203"), ("ABC", "210"), ("ABC", "222"))
 BUCKETS = ((">95%", 0.95), (">90%", 0.90), (">85%", 0.85), (">80%", 0.80), (">75%", 0.75))
 
 
+def term_numbers(df: DataFrame) -> DataFrame:
+    """Terms of ``df`` with their place in order: a small table, and numbers can be aggregated by hashing."""
+    order = Window.orderBy("term")
+    return df.select("term").distinct().withColumn("term_number", F.row_number().over(order))
+
+
 def major_moves(enroll: DataFrame, major_prefix: str = "ABC") -> DataFrame:
     """Per major outside ``major_prefix``: its students, and those seen under the prefix in a later term.
 
     "An earlier term under this major" is the same as "the first term under it lies before
     the last term under the prefix", so the self-join on student becomes two extremes per
-    (student, major): one row each however often a student enrols.
+    (student, major): one row each however often a student enrols. These are made before
+    anything is shuffled by student alone, so that a crowded student id stays a few rows.
     """
     inside = F.col("major").startswith(major_prefix)
-    spans = enroll.where(F.col("major").isNotNull() & F.col("sid").isNotNull()).groupBy("sid", "major").agg(
-        F.min("term").alias("first_term"), F.max("term").alias("last_term")
+    known = enroll.where(F.col("major").isNotNull() & F.col("sid").isNotNull())
+    spans = known.join(term_numbers(enroll), "term").groupBy("sid", "major").agg(
+        F.min("term_number").alias("first_term"), F.max("term_number").alias("last_term")
     )
     joined = F.max(F.when(inside, F.col("last_term"))).over(Window.partitionBy("sid"))
     return (
@@ -66,10 +74,10 @@ def prereq_share(
     are answered in one pass without joining enrolments to themselves.
     """
     taken = (
-        enroll.join(course.select("term", "cid", "subj", "crse"), ["term", "cid"])
+        enroll.join(course.select("term", "cid", "subj", "crse").join(term_numbers(course), "term"), ["term", "cid"])
         .where(F.col("sid").isNotNull())
         .groupBy("sid", "subj", "crse")
-        .agg(F.min("term").alias("first_term"), F.max("term").alias("last_term"))
+        .agg(F.min("term_number").alias("first_term"), F.max("term_number").alias("last_term"))
     )
     student = Window.partitionBy("sid")
     attempts = [F.max(F.when(_is(t), F.col("last_term"))).over(student).alias(f"attempt_{i}")

@@ -5,45 +5,61 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gradeweave.sources.schemas import KEYS, REFERENCES, REQUIRED, WIDTHS
+from gradeweave.sources.shared import stage
 
 
 def quality_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     """All rules on the given tables: (table, rule, violations), zero included.
 
-    ``missing`` and ``too_wide`` take one pass per table. ``duplicate`` counts the rows beyond
-    the first per key. ``orphan`` first counts rows per key, so a crowded key is one row by
-    the time it meets the other table.
+    Each table is read once, into one row per combination of its key columns with the number
+    of rows and of broken row rules in it. ``duplicate`` counts the rows beyond the first per
+    key, ``orphan`` rows whose key the other table lacks: both from those rows, so a crowded
+    key is one row by the time it meets anything.
     """
-    checks = [_row_checks(name, df) for name, df in tables.items()]
-    checks += [_duplicates(name, df, key) for name, df in tables.items() for key in KEYS.get(name, [])]
+    condensed = {name: stage(_condensed(name, df), f"quality-{name}") for name, df in tables.items()}
+    checks = [_row_checks(name, df) for name, df in condensed.items()]
+    checks += [_duplicates(name, df, key) for name, df in condensed.items() for key in KEYS.get(name, [])]
     checks += [
-        _orphans(name, tables[name], key, target, tables[target])
-        for name, key, target in REFERENCES if name in tables and target in tables
+        _orphans(name, condensed[name], key, target, condensed[target])
+        for name, key, target in REFERENCES if name in condensed and target in condensed
     ]
     return reduce(DataFrame.unionByName, checks)
 
 
-def _row_checks(name: str, df: DataFrame) -> DataFrame:
+def _rules(name: str) -> dict[str, Column]:
     breaks = {f"missing {c}": F.col(c).isNull() for c in REQUIRED[name]}
-    breaks |= {f"too_wide {c}": F.length(c) > width for c, width in WIDTHS[name].items()}
-    counts = df.agg(*[F.count(F.when(cond, F.lit(1))).alias(rule) for rule, cond in breaks.items()])
-    rows = F.inline(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(f"`{r}`").alias("violations")) for r in breaks]))
+    return breaks | {f"too_wide {c}": F.length(c) > width for c, width in WIDTHS[name].items()}
+
+
+def _condensed(name: str, df: DataFrame) -> DataFrame:
+    keys = [*KEYS.get(name, []), *[key for table, key, _ in REFERENCES if table == name], *[key for _, key, target in REFERENCES if target == name]]
+    columns = list(dict.fromkeys(c for key in keys for c in key))
+    return df.groupBy(*columns).agg(
+        F.count("*").alias("n"), *[F.count(F.when(broken, F.lit(1))).alias(f"rule_{i}") for i, broken in enumerate(_rules(name).values())])
+
+
+def _row_checks(name: str, condensed: DataFrame) -> DataFrame:
+    rules = list(_rules(name))
+    counts = condensed.agg(*[F.coalesce(F.sum(f"rule_{i}"), F.lit(0)).alias(f"rule_{i}") for i in range(len(rules))])
+    rows = F.inline(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(f"rule_{i}").alias("violations")) for i, r in enumerate(rules)]))
     return counts.select(F.lit(name).alias("table"), rows)
 
 
-def _duplicates(name: str, df: DataFrame, key: list[str]) -> DataFrame:
-    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
-    surplus = df.where(known).groupBy(*key).agg((F.count("*") - 1).alias("n"))
+def _known(key: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
+
+
+def _duplicates(name: str, condensed: DataFrame, key: list[str]) -> DataFrame:
+    surplus = condensed.where(_known(key)).groupBy(*key).agg((F.sum("n") - 1).alias("n"))
     return _total(name, f"duplicate {', '.join(key)}", surplus)
 
 
-def _orphans(name: str, df: DataFrame, key: list[str], target: str, other: DataFrame) -> DataFrame:
-    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
-    counts = df.where(known).groupBy(*key).agg(F.count("*").alias("n"))
+def _orphans(name: str, condensed: DataFrame, key: list[str], target: str, other: DataFrame) -> DataFrame:
+    counts = condensed.where(_known(key)).groupBy(*key).agg(F.sum("n").alias("n"))
     return _total(name, f"orphan {', '.join(key)} in {target}", counts.join(other, key, "left_anti"))
 
 

@@ -27,22 +27,23 @@ def bookings(course: DataFrame, meeting: DataFrame, daytime: DataFrame, term_suf
 def conflicting_bookings(booked: DataFrame) -> DataFrame:
     """Bookings that overlap, in the same place, a higher-numbered course held by another instructor.
 
-    Bookings are never paired with each other. Slots that start before they end overlap
-    exactly when they share a minute, and per place and minute two rivals are enough: the
-    highest course numbers under distinct instructors. Whichever instructor a booking has,
-    one of the two tells whether it has a partner. So every booking looks up its minutes,
-    at most a day's, in a table with one row per place and minute.
+    Bookings are never paired with each other. The starts and ends of a place cut its day into
+    parts, a slot covers whole parts, and slots that start before they end overlap exactly
+    when they share one. Per place and part two rivals are enough: the highest course numbers
+    under distinct instructors. Whichever instructor a booking has, one of the two tells
+    whether it has a partner. So every booking looks up its parts in a table with one row per
+    place and part: a few rows per booking, as a place has few different slots.
 
     Instructors of one course in one slot are kept as first and last name, which is enough
     to know if there is another one. ``booked`` is read several times: pass a stored table.
     """
     units = _units(booked)
     forward = F.col("st") < F.col("en")
-    minute = F.explode(F.sequence(F.col("st"), F.col("en") - 1)).alias("minute")
+    parts = _parts(units.where(forward))
     first, second = F.col("rank") == 1, F.col("rank") == 2
     covering = (
-        _two_rivals(booked.where(forward).select(*PLACE, "full_name", "crse", minute), [*PLACE, "minute"])
-        .groupBy(*PLACE, "minute").agg(
+        _two_rivals(booked.where(forward).join(parts, [*PLACE, *SLOT]).select(*PLACE, "full_name", "crse", "part"), [*PLACE, "part"])
+        .groupBy(*PLACE, "part").agg(
             F.max(F.when(first, F.col("crse"))).alias("crse_1"),
             F.max(F.when(first, F.col("full_name"))).alias("name_1"),
             F.max(F.when(second, F.col("crse"))).alias("crse_2"),
@@ -51,7 +52,7 @@ def conflicting_bookings(booked: DataFrame) -> DataFrame:
     several = F.col("first_name") != F.col("last_name")
     rival = F.when(several | (F.col("name_1") != F.col("first_name")), F.col("crse_1")).otherwise(F.col("crse_2"))
     found = (
-        units.where(forward).select("*", minute).join(covering, [*PLACE, "minute"])
+        units.where(forward).join(parts, [*PLACE, *SLOT]).join(covering, [*PLACE, "part"])
         .where(rival > F.col("crse")).select(units.columns)
     )
     if not booked.where(~forward).isEmpty():
@@ -157,13 +158,24 @@ def smallest_rooms(rooms: DataFrame, top: int = 5) -> DataFrame:
     return rooms.orderBy("cap", "build", "room").limit(top)
 
 
+def _parts(slots: DataFrame) -> DataFrame:
+    """Per place and slot, the parts of the day it covers: those that begin at a start or end of some slot there.
+
+    A place has at most 86,400 such bounds a day, so their list fits a row.
+    """
+    slots = slots.select(*PLACE, *SLOT).distinct()
+    bounds = slots.groupBy(*PLACE).agg(F.array_union(F.collect_set("st"), F.collect_set("en")).alias("bounds"))
+    covered = F.filter("bounds", lambda b: (b >= F.col("st")) & (b < F.col("en")))
+    return slots.join(bounds, PLACE).select(*PLACE, *SLOT, F.explode(covered).alias("part"))
+
+
 def _units(booked: DataFrame) -> DataFrame:
     return booked.groupBy(*PLACE, *SLOT, "subj", "crse").agg(
         F.min("full_name").alias("first_name"), F.max("full_name").alias("last_name"))
 
 
 def _backward_conflicts(booked: DataFrame, units: DataFrame) -> DataFrame:
-    """Conflicts in which one slot ends before it starts, as entered: such slots share no minute.
+    """Conflicts in which one slot ends before it starts, as entered: such slots cover no part of the day.
 
     The overlap is then taken by its two inequalities, between bookings and the two rivals
     of each slot on the other side.

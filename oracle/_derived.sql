@@ -36,8 +36,8 @@ meeting AS (
          CASE idx%3 WHEN 0 THEN 'HAL' WHEN 1 THEN 'OLS' ELSE 'WEL' END AS build,
          CAST(100 + (idx*2 + yr)%12 AS INTEGER) AS room,
          CASE WHEN pos = 2 THEN 'F' WHEN idx%2 = 0 THEN 'MWF' ELSE 'TR' END AS days,
-         CASE pos WHEN 1 THEN CAST(480 + 60*((idx + yr)%6) + 10*(yr%3) AS INTEGER) END AS st,
-         CASE pos WHEN 1 THEN CAST(480 + 60*((idx + yr)%6) + 10*(yr%3) + 50 + 40*sec AS INTEGER) END AS en
+         CASE pos WHEN 1 THEN CAST(60*(480 + 60*((idx + yr)%6) + 10*(yr%3)) + 30*(idx%2) AS INTEGER) END AS st,
+         CASE pos WHEN 1 THEN CAST(60*(480 + 60*((idx + yr)%6) + 10*(yr%3) + 50 + 40*sec) + 30*(idx%2) AS INTEGER) END AS en
   FROM course, (SELECT unnest([1, 2]) AS pos)
   WHERE pos = 1 OR idx%4 = 0
 ),

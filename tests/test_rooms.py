@@ -30,8 +30,8 @@ def random_book(seed, backward):
         for pos in range(rng.randint(1, 2)):
             meeting.append((term, cid, pos, rng.choice("PQRS"), rng.choice([1, 2, None]), rng.choice(["A", "B"])))
             for day in rng.sample("MTWRF", 2):
-                st = rng.randrange(480, 700, 10)
-                en = st + rng.choice([30, 50, 80, 0, -20, -60] if backward else [30, 50, 80])
+                st = rng.randrange(28800, 42000, 600) + rng.choice([0, 0, 1, 30])
+                en = st + rng.choice([1800, 3000, 4799, 0, -1200, -3600] if backward else [1800, 3000, 4799, 1])
                 daytime.append((term, cid, pos, day, *rng.choice([(st, en)] * 9 + [(None, None)])))
     return course, meeting, daytime
 

@@ -1,5 +1,6 @@
 """Report files to stored relations and reports on them."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from gradeweave.__main__ import main
@@ -50,12 +51,35 @@ def test_terms_are_pruned(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(term" in text
 
 
+def test_reports_and_issues_are_whole(spark, tmp_path, capsys):
+    text = "".join(report("200101", [(1, 2)]).replace("1,200101,ABC,101", f"{i},200101,ABC,1{i:03d}").replace("Doe, 1", f"Doe, {i % 3}")
+                   for i in range(150))
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text(text + "1,2\n")
+    root, out = str(tmp_path / "tables"), str(tmp_path / "out")
+    main(["setup", str(tmp_path / "in"), root])
+    assert "short_row\t1" in capsys.readouterr().out
+    main(["reports", root, out])
+    assert spark.read.csv(f"{out}/course_gpa_extremes", header=True).count() == 150
+
+
+def test_open_quotes_stop_the_setup(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text(report("200101", [(1, 3)]) + '9,"never closed\nmore\n')
+    with pytest.raises(ValueError, match="never closed"):
+        load_reports(spark, str(tmp_path / "in"), str(tmp_path / "tables"))
+    stored = load_reports(spark, str(tmp_path / "in"), str(tmp_path / "tables"), go_on=True)
+    assert stored.rejected_line.count() == 2 and stored.enroll.count() == 3
+    assert [tuple(r) for r in stored.issue.select("rule").collect()] == [("record_not_closed",)]
+
+
 def test_command_line(spark, tmp_path, capsys):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.csv").write_text(report("200101", [(1, 3)]) + report("200103", [(2, 9)]))
     root = str(tmp_path / "tables")
     main(["setup", str(tmp_path / "in"), root])
-    main(["reports", root])
+    main(["reports", root, str(tmp_path / "out"), "--print"])
     main(["open-rooms", root, "200101", "1", "2"])
     shown = capsys.readouterr().out
+    assert spark.read.csv(str(tmp_path / "out" / "gpa_by_unit_load"), header=True).count() == 20
     assert "instructor_extremes" in shown and "|  HAL|   2|  9|     3|" in shown
