@@ -168,7 +168,10 @@ def train(docs: DataFrame, sample: int = SAMPLE_DOCS) -> Model:
 
 
 def identify(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """``keep`` columns with lang_pred, score and rejected. The model is at most MAX_LANGS numbers per bucket: broadcast."""
+    """``keep`` columns, named _0, _1, ..., with lang_pred, score and rejected.
+
+    The model is at most MAX_LANGS numbers per bucket: broadcast.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,16 +193,16 @@ def identify(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     held = docs.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(keep)], F.col("text").alias("_text"),
                        F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("_letters"))
     fields = ", ".join(f"_{i} {held.schema[i].dataType.simpleString()}" for i in range(len(keep)))
-    out = held.mapInArrow(run, f"{fields}{', ' if keep else ''}lang_pred string, score double, rejected boolean")
-    return out.toDF(*keep, "lang_pred", "score", "rejected")
+    return held.mapInArrow(run, f"{fields}{', ' if keep else ''}lang_pred string, score double, rejected boolean")
 
 
 def languages(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score, rejected."""
-    found = identify(docs.select("doc_id", "text"), train(docs), ["doc_id"])
+    found = identify(docs.select("doc_id", "text"), train(docs), ["doc_id"]).withColumnRenamed("_0", "doc_id")
     return found.select("doc_id", fold().alias("held_out"), "lang_pred", "score", "rejected")
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose language is not rejected."""
-    return identify(docs, train(docs), docs.columns).where(~F.col("rejected")).drop("lang_pred", "score", "rejected")
+    found = identify(docs, train(docs), docs.columns)
+    return found.where(~F.col("rejected")).drop("lang_pred", "score", "rejected").toDF(*docs.columns)

@@ -6,8 +6,8 @@ more. The threshold comes from histograms: words by source and the first 12 bits
 the bucket in which a source's budget ends is the only one that is looked into, 12 bits at a time.
 
 Defined cases: null source is a source of its own, after all others; null text has no words;
-rows that share one hash (the same doc_id and text) and straddle a budget take equal parts of
-what is left, a single row there is taken whole if at least half of it fits; an empty table
+rows that share one hash (the same doc_id and text) and straddle a budget are taken one by one,
+as many as come nearest to it; an empty table
 gives an empty mix; other columns are ignored or, in ``mixed_rows``, passed on.
 """
 
@@ -22,7 +22,8 @@ from gradeweave.sources.shared import stage
 
 WORD = r"[^\x20\x09-\x0D]+"
 HASH_BITS, STEP_BITS = 60, 12
-STEP = 1 << STEP_BITS
+#: Up to so many row numbers are broadcast.
+SMALL = 100_000
 
 
 def _measures() -> dict[str, Column]:
@@ -31,6 +32,7 @@ def _measures() -> dict[str, Column]:
     return {
         "_size": F.regexp_count(text, F.lit(WORD)).cast("bigint"),
         "_hash": F.conv(F.substring(F.md5(name), 1, HASH_BITS // 4), 16, 10).cast("bigint"),
+        "_rid": F.monotonically_increasing_id(),
         "_key": F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col("source"))),
     }
 
@@ -72,18 +74,18 @@ def _bucket(level: int) -> Column:
 
 def _boundary(rows: DataFrame, budgets: DataFrame, level: int) -> DataFrame:
     """Per source the bucket of this level in which the budget ends, and what is left on entering it."""
-    sums = rows.groupBy("_key", _bucket(level).alias("_at")).agg(F.sum("_size").alias("_words"), F.count("*").alias("_rows"))
+    sums = rows.groupBy("_key", _bucket(level).alias("_at")).agg(F.sum("_size").alias("_words"))
     so_far = Window.partitionBy("_key").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
     return (
         sums.withColumn("_upto", F.sum("_words").over(so_far))
         .join(budgets.select("_key", "_left"), "_key")
         .where((F.col("_upto") > F.col("_left")) & (F.col("_upto") - F.col("_words") <= F.col("_left")))
-        .select("_key", "_at", (F.col("_left") - F.col("_upto") + F.col("_words")).alias("_left"), "_words", "_rows")
+        .select("_key", "_at", (F.col("_left") - F.col("_upto") + F.col("_words")).alias("_left"))
     )
 
 
 def thresholds(measured: DataFrame, weights: Sequence[int], share: float, most: float) -> DataFrame:
-    """Per source: size, target, whole copies, the hash where its last part ends, and the share of rows with that hash."""
+    """Per source: size, target, whole copies, the hash where its last part ends, and the words left there."""
     sizes = measured.groupBy("_key").agg(F.sum("_size").cast("bigint").alias("source_size"))
     sources = stage(source_targets(sizes, weights, share, most), "mix-sources")
     edge = stage(_boundary(measured, sources, 1), "mix-edge")
@@ -95,35 +97,57 @@ def thresholds(measured: DataFrame, weights: Sequence[int], share: float, most:
         edge = _boundary(cell, edge, level)
         if level < HASH_BITS // STEP_BITS:
             edge = stage(edge, "mix-edge")
-    edge = edge.select("_key", "_at", F.col("_left").alias("_rest"), "_words", "_rows")
+    edge = edge.select("_key", "_at", F.col("_left").alias("_rest"))
     return stage(sources.join(edge, "_key", "left"), "mix-thresholds")
 
 
-def _taken() -> Column:
-    size = F.col("_size")
-    tied = F.when(F.col("_rows") > 1, F.floor(size * F.col("_rest") / F.col("_words")).cast("bigint")).when(
-        2 * F.col("_rest") >= F.col("_words"), size).otherwise(F.lit(0))
-    extra = F.when(F.col("_hash") < F.col("_at"), size).when(F.col("_hash") == F.col("_at"), tied).otherwise(F.lit(0))
-    return (F.col("_copies") * size + extra).cast("bigint")
+def _chosen_ties(measured: DataFrame, found: DataFrame) -> DataFrame:
+    """_rid of rows taken once more of those that have the hash at which their source's budget ends.
+
+    They are numbered, in blocks and over blocks, as one document may be there any number of
+    times; all of them have one size.
+    """
+    tied = measured.join(found, "_key").where((F.col("_hash") == F.col("_at")) & (F.col("_size") > 0))
+    tied = tied.select("_key", "_rid", "_rest", "_size", F.shiftright("_rid", 16).alias("_block"))
+    blocks = tied.groupBy("_key", "_block").agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy("_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.select("_key", "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    inside = F.row_number().over(Window.partitionBy("_key", "_block").orderBy("_rid"))
+    wanted = F.floor(F.col("_rest") / F.col("_size") + 0.5)
+    numbered = tied.withColumn("_number", inside).join(starts, ["_key", "_block"])
+    chosen = stage(numbered.where(F.col("_number") + F.col("_start") <= wanted).select("_rid", F.lit(True).alias("_tie")), "mix-ties")
+    return F.broadcast(chosen) if chosen.count() <= SMALL else chosen
+
+
+def _with_times(rows: DataFrame, found: DataFrame, ties: DataFrame) -> DataFrame:
+    """Rows with what ``found`` has of their source, and ``_times``: how often each is taken."""
+    extra = (F.col("_hash") < F.col("_at")) | F.coalesce("_tie", F.lit(False))
+    more = F.when((F.col("_size") > 0) & extra, F.lit(1)).otherwise(F.lit(0))
+    return rows.join(found, "_key").join(ties, "_rid", "left").withColumn("_times", F.col("_copies") + more)
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, taken."""
     measured = stage(docs.select("doc_id", "source", "text").withColumns(_measures()).drop("text"), "mix-sizes")
     found = thresholds(measured, weights, share, most)
-    return measured.join(found, "_key").select(
-        "doc_id", "source", F.col("_size").alias("size"), "source_size", "target", _taken().alias("taken"))
+    return _with_times(measured, found, _chosen_ties(measured, found)).select(
+        "doc_id", "source", F.col("_size").alias("size"), "source_size", "target", (F.col("_times") * F.col("_size")).cast("bigint").alias("taken"))
 
 
 def mixed_rows(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """The mixed corpus: every row as often as the mix takes it, whole; all columns of ``docs``."""
+    """The mixed corpus: every row as often as the mix takes it; all columns of ``docs``. Rows without words stay once.
+
+    ``docs`` is read twice and must give its rows in the same order, as stored tables do. Only the
+    thresholds, a row per source, are brought to the texts.
+    """
     columns = docs.columns
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), "doc_id", "source", "text").withColumns(_measures())
-    measured = stage(held.select("_key", "_size", "_hash"), "mix-sizes")
+    held = held.select("_row", "_key", "_size", "_hash", "_rid")
+    measured = stage(held.drop("_row"), "mix-sizes")
     found = thresholds(measured, weights, share, most)
-    times = F.when(F.col("_size") > 0, F.round(_taken() / F.col("_size"))).otherwise(F.lit(1)).cast("int")
+    times = F.when(F.col("_size") > 0, F.col("_times")).otherwise(F.lit(1)).cast("int")
     return (
-        held.select("_row", "_key", "_size", "_hash").join(found, "_key").withColumn("_times", times).where("_times > 0")
+        _with_times(held, found, _chosen_ties(measured, found)).withColumn("_times", times).where("_times > 0")
         .select("_row", F.explode(F.array_repeat(F.lit(0), F.col("_times"))).alias("_copy")).select("_row.*")
     )
 
@@ -131,7 +155,8 @@ def mixed_rows(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float
 SQL = r"""
 WITH m AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), 1, 15))::BIGINT AS h
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), 1, 15))::BIGINT AS h,
+         row_number() OVER (PARTITION BY source, doc_id, md5(coalesce(text, ''))) AS copy
   FROM documents),
 s AS (
   SELECT source, sum(size)::BIGINT AS source_size,
@@ -149,7 +174,7 @@ t AS (
               ELSE w * (SELECT level FROM l WHERE level < ratio ORDER BY ratio, source NULLS LAST LIMIT 1) END AS target
   FROM l),
 g AS (
-  SELECT m.source, h, sum(size) AS words, count(*) AS n,
+  SELECT m.source, h, sum(size) AS words,
          sum(sum(size)) OVER (PARTITION BY m.source ORDER BY h) AS upto
   FROM m GROUP BY m.source, h)
 SELECT m.doc_id, m.source, m.size, t.source_size, t.target,
@@ -157,8 +182,7 @@ SELECT m.doc_id, m.source, m.size, t.source_size, t.target,
     floor(t.target + 1e-6)::BIGINT // t.source_size * m.size
     + CASE WHEN g.upto <= floor(t.target + 1e-6)::BIGINT % t.source_size THEN m.size
            WHEN g.upto - g.words > floor(t.target + 1e-6)::BIGINT % t.source_size THEN 0
-           WHEN g.n > 1 THEN floor(m.size * (floor(t.target + 1e-6)::BIGINT % t.source_size - g.upto + g.words) / g.words::DOUBLE)::BIGINT
-           WHEN 2 * (floor(t.target + 1e-6)::BIGINT % t.source_size - g.upto + g.words) >= g.words THEN m.size
+           WHEN m.copy <= floor((floor(t.target + 1e-6)::BIGINT % t.source_size - g.upto + g.words) / m.size::DOUBLE + 0.5) THEN m.size
            ELSE 0 END END)::BIGINT AS taken
 FROM m JOIN t ON m.source IS NOT DISTINCT FROM t.source
 JOIN g ON m.source IS NOT DISTINCT FROM g.source AND m.h = g.h

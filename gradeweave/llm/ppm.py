@@ -34,7 +34,7 @@ from gradeweave.sources.shared import stage
 
 ORDER = 4
 START, END, SYMBOLS = 0xFE, 0xFF, 255  # neither byte occurs in UTF-8; START is never a symbol
-MAX_ENTRIES = 3_000_000
+MAX_ENTRIES = 2_000_000
 HEAD_WORDS = 1 << 18
 END_TOKEN = np.uint64(0x5DEECE66D1234567)
 GRAM, TOKEN = 0, 1

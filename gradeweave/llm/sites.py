@@ -29,8 +29,8 @@ from gradeweave.llm.textnum import IS_WHITE, LOWER, blocks, mix64, range_hashes,
 from gradeweave.sources.shared import stage
 
 SAMPLE_ROWS = 8000
-BITS, PREFIX = 18, 5
-EPOCHS, BATCH, RATE, L2, LEAST_DOCS = 12, 16, 0.02, 1e-3, 3
+BITS, PREFIXES = 18, (4, 6)
+EPOCHS, BATCH, RATE, L2, LEAST_DOCS = 20, 16, 0.05, 1e-3, 3
 HEADS = ["quality", "toxic"]
 
 
@@ -46,12 +46,12 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     starts, ends = runs(~IS_WHITE[folded], offsets)
     owner = np.repeat(np.arange(n), np.diff(np.searchsorted(starts, offsets)))
     whole = range_hashes(folded, starts, ends)
-    begin = mix64(range_hashes(folded, starts, np.minimum(ends, starts + PREFIX)) + np.uint64(1))
+    begins = [mix64(range_hashes(folded, starts, np.minimum(ends, starts + p)) + np.uint64(p)) for p in PREFIXES]
     _, x = statistics(data, offsets)
     steps = np.floor(np.clip(np.column_stack([x[:, :1], x[:, 1:2] / 2, x[:, 2:9] * 20, np.log1p(x[:, 9:10]), x[:, 10:] * 20]), 0, 60)).astype(np.uint64)
     coded = mix64(steps + np.arange(len(FEATURES), dtype=np.uint64) * np.uint64(1000) + np.uint64(1 << 40))
-    ids = np.concatenate([whole, begin, coded.ravel()]) >> np.uint64(64 - BITS)
-    owner = np.concatenate([owner, owner, np.repeat(np.arange(n), len(FEATURES))]).astype(np.uint64)
+    ids = np.concatenate([whole, *begins, coded.ravel()]) >> np.uint64(64 - BITS)
+    owner = np.concatenate([owner, *[owner] * len(PREFIXES), np.repeat(np.arange(n), len(FEATURES))]).astype(np.uint64)
     both = np.unique((owner << np.uint64(BITS)) | ids)
     return (both & np.uint64((1 << BITS) - 1)).astype(np.int64), np.searchsorted(both >> np.uint64(BITS), np.arange(n + 1, dtype=np.uint64))
 

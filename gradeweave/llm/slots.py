@@ -73,12 +73,13 @@ def rebalanced(placed: Mapping[Unit, int], sizes: Mapping[Unit, int], shards: in
             held[s] += sizes[u]
     fair = sum(sizes.values()) / shards
     moving = [u for u, s in now.items() if s < 0]
+    over = {s for s in range(shards) if held[s] > fair * (1 + slack)}
     for u in sorted(now, key=lambda u: (-sizes[u], u)):
         s = now[u]
-        if s >= 0 and held[s] > fair * (1 + slack) and held[s] - sizes[u] >= fair * (1 - slack):
+        if s in over and held[s] > fair and held[s] - sizes[u] >= fair * (1 - slack):
             held[s] -= sizes[u]
             moving.append(u)
-    heap = [(b, s) for s, b in enumerate(held)]
+    heap = [(b, s) for s, b in enumerate(held) if s not in over]
     heapq.heapify(heap)
     for u in sorted(moving, key=lambda u: (-sizes[u], u)):
         b, s = heapq.heappop(heap)
