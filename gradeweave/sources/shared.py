@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import warnings
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,11 +18,16 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="gradeweave-"))
         folder = context.getCheckpointDir()
+    if folder.startswith("file:") and not context.master.startswith("local"):
+        warnings.warn(f"{folder} must be a mount that all executors share", stacklevel=2)
     return folder
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to shared storage once and read it back, so that later uses do not recompute it."""
+def stage(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` to shared storage once and read it back, so that later uses do not recompute it.
+
+    ``by``: a column of few values; later reads of one value pass over all other rows.
+    """
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/gradeweave/{label}-{uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
