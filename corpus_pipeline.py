@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from gradeweave.llm import langid, leaks, mixing, neardup, slots
+from gradeweave.llm.shipping import ship
 from gradeweave.sources.shared import stage
 
 
@@ -48,6 +49,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on the documents of ``sf_dir``."""
+    ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, step in STAGES:
         docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")

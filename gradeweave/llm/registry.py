@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from gradeweave.llm import langid, leaks, mixing, neardup, ppm, repeats, rules, secrets, sites, slots
+from gradeweave.llm.shipping import ship
 
 
 def _documents(operator: Callable[..., DataFrame], *others: str) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: operator(spark.read.parquet(f"{sf_dir}/documents.parquet"), *[
-        spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in others])
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return operator(*[spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", *others)])
+
+    return run
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
