@@ -14,23 +14,45 @@ SAMPLE_STEP = 8
 def suffix_order(text: np.ndarray, depth: int | None = None) -> np.ndarray:
     """Sorted suffixes of a sequence, by prefix doubling; with ``depth``, by their first ``depth`` symbols at least.
 
-    A suffix that another one begins with comes first.
+    A suffix that another one begins with comes first. Only suffixes that are not yet told apart
+    are sorted again.
     """
     n = len(text)
-    _, rank = np.unique(text, return_inverse=True)
-    rank = rank.astype(np.int64)
-    width = 1
-    while True:
-        second = np.full(n, -1, np.int64)
-        second[: n - width] = rank[width:]
-        key = rank * np.int64(n + 1) + second + 1
-        order = np.argsort(key, kind="stable")
-        new = np.ones(n, np.int64)
-        new[1:] = key[order[1:]] != key[order[:-1]]
-        rank[order] = np.cumsum(new) - 1
-        if rank[order[-1]] == n - 1 or width >= (depth or n):
-            return order
+    order = np.argsort(text)
+    rank = np.empty(n + 1, np.int64)  # the place of the first suffix not told apart from it; the end comes before all
+    rank[n] = -1
+    rank[order] = run_starts(text[order])
+    width, open_ = 1, _shared(rank[order])
+    while len(open_) and width < (depth or n):
+        part = order[open_]
+        key = rank[part] * np.int64(n + 1) + rank[np.minimum(part + width, n)] + 1
+        again = np.argsort(key)
+        part, key = part[again], key[again]
+        order[open_] = part
+        new = np.ones(len(part), bool)
+        new[1:] = key[1:] != key[:-1]
+        rank[part] = carried(np.where(new, open_, -1))
+        open_ = open_[_shared(rank[part])]
         width *= 2
+    return order
+
+
+def run_starts(values: np.ndarray) -> np.ndarray:
+    """For sorted values, the place of the first equal one."""
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    return carried(np.where(new, np.arange(len(values)), -1))
+
+
+def carried(values: np.ndarray) -> np.ndarray:
+    """Each -1 replaced by the last other value before it."""
+    return values[np.maximum.accumulate(np.where(values >= 0, np.arange(len(values)), 0))]
+
+
+def _shared(ranks: np.ndarray) -> np.ndarray:
+    """Places in a sorted list whose value stands beside an equal one."""
+    same = np.concatenate([[False], ranks[1:] == ranks[:-1], [False]])
+    return np.flatnonzero(same[1:] | same[:-1])
 
 
 class WaveletRanks:

@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-from gradeweave.llm.fmindex import suffix_order
+from gradeweave.llm.fmindex import carried, run_starts, suffix_order
 
 BLOCK = 1 << 18
 #: Names sorted in memory; more of them are sorted by another round of induction.
@@ -104,11 +104,15 @@ def _word(text: np.ndarray, at: np.ndarray, many: np.ndarray) -> np.ndarray:
     """``many`` (up to 8 bytes, or one larger symbol) from ``at`` as one number, high values after the end."""
     if text.dtype != np.uint8:
         return np.where(many > 0, text[np.minimum(at, len(text) - 1)].astype(np.uint64), np.uint64(2**64 - 1))
-    out = np.zeros(len(at), np.uint64)
-    for i in range(8):
-        symbol = np.where(i < many, text[np.minimum(at + i, len(text) - 1)], 255).astype(np.uint64)
-        out = (out << np.uint64(8)) | symbol
-    return out
+    if len(text) < 8:
+        text = np.append(text, np.zeros(8, np.uint8))
+    last = len(text) - 8
+    words = np.lib.stride_tricks.sliding_window_view(text, 8)[np.minimum(at, last)].view(">u8").ravel().astype(np.uint64)
+    words <<= (8 * np.maximum(at - last, 0)).astype(np.uint64)
+    return words | _AFTER[np.minimum(many, 8)]
+
+
+_AFTER = np.array([(1 << 64 - 8 * i) - 1 for i in range(9)], np.uint64)
 
 
 def _names(text: np.ndarray, minima: np.ndarray, limit: int) -> np.ndarray:
@@ -119,8 +123,8 @@ def _names(text: np.ndarray, minima: np.ndarray, limit: int) -> np.ndarray:
     size = np.minimum(np.diff(np.append(minima, len(text) - 1)) + 1, limit)
     width = 8 if text.dtype == np.uint8 else 1
     word = _word(text, np.asarray(minima), size)
-    order = np.argsort(word, kind="stable")
-    rank = _first_of_run(word[order])
+    order = np.argsort(word)
+    rank = run_starts(word[order])
     name = np.empty(len(order), np.int64)
     name[order] = rank
     done = width
@@ -140,23 +144,10 @@ def _names(text: np.ndarray, minima: np.ndarray, limit: int) -> np.ndarray:
         new[1:] = (w[1:] != w[:-1]) | (r[1:] != r[:-1])
         group = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
         inside = np.arange(len(order)) - np.repeat(group, np.diff(np.append(group, len(order))))
-        name[order] = r + _carry(np.where(new, inside, -1))
+        name[order] = r + carried(np.where(new, inside, -1))
         done += width
 
 
-def _first_of_run(values: np.ndarray) -> np.ndarray:
-    """For sorted values, the place of the first equal one."""
-    new = np.ones(len(values), bool)
-    new[1:] = values[1:] != values[:-1]
-    return _carry(np.where(new, np.arange(len(values)), -1))
-
-
-def _carry(values: np.ndarray) -> np.ndarray:
-    """Each -1 replaced by the last other value before it."""
-    at = np.maximum.accumulate(np.where(values >= 0, np.arange(len(values)), 0))
-    return values[at]
-
-
 def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, limit: int) -> np.ndarray:
     """Lengths of common prefixes of suffixes, up to ``limit``."""
     out = np.zeros(len(a), np.int64)
@@ -165,6 +156,14 @@ def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, limit: int) ->
         if not len(live):
             break
         x, y = a[live] + done, b[live] + done
+        if text.dtype == np.uint8 and max(int(x.max()), int(y.max())) + 8 <= n:
+            windows = np.lib.stride_tricks.sliding_window_view(np.asarray(text), 8)
+            one, two = windows[x], windows[y]
+            alike = (one.view(np.uint64) == two.view(np.uint64)).ravel()
+            out[live[alike]] += 8
+            out[live[~alike]] += (one[~alike] != two[~alike]).argmax(1)
+            live = live[alike]
+            continue
         same, going = np.zeros(len(live), np.int64), np.ones(len(live), bool)
         for i in range(8):
             p, q = x + i, y + i
@@ -224,8 +223,8 @@ def induce(text: np.ndarray, seeds: np.ndarray, disk: Disk, limit: int) -> Itera
     def push(at: np.ndarray, common: np.ndarray, allowed) -> None:
         before = text[np.maximum(at - 1, 0)]
         index = np.flatnonzero(allowed(before) & (at > 0))
-        symbol = before[index].astype(np.int64)
-        order = np.argsort(symbol, kind="stable")
+        symbol = before[index]
+        order = np.argsort(symbol, kind="stable")  # of bytes: by counting
         index, symbol = index[order], symbol[order]
         shared = gaps.pushed(common, index, symbol) if with_common else np.zeros(len(index), np.uint8)
         if len(index):
@@ -315,8 +314,8 @@ def sorted_minima(text: np.ndarray, disk: Disk, limit: int) -> np.ndarray:
     if len(name) <= BASE:
         kinds, small = np.unique(name, return_inverse=True)
         if len(kinds) == len(name):
-            return np.asarray(minima)[np.argsort(name, kind="stable")]
-        return np.asarray(minima)[suffix_order(small, limit)]
+            return np.asarray(minima)[np.argsort(name)]
+        return np.asarray(minima)[suffix_order(small, limit // 2 + 1)]  # a name stands for two symbols or more
     _, small = np.unique(name, return_inverse=True)
     again = disk.array(len(small) + 1, np.int64)
     again[:-1], again[-1] = small + 1, 0

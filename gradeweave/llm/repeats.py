@@ -170,8 +170,16 @@ def _sort_shard(length: int):
             names, bodies, copies, sizes = (np.concatenate(x) for x in (names, bodies, copies, sizes))
             text = np.memmap(path, np.uint8, "r")
             begin = np.concatenate([[0], np.cumsum(sizes + 1)])
-            marks = disk.array(len(text), np.uint8)
-            _mark(text, begin, sizes - length + 1, copies, marks, disk, length)
+            marks, weights = disk.array(len(text), np.uint8), disk.array(len(text), np.uint8)
+            for low in range(0, len(names), 20_000):  # of each start, whether there are one or more of it; 0 for what only goes along
+                part = slice(low, low + 20_000)
+                own = sizes[part] - length + 1
+                step = np.zeros(begin[min(low + 20_000, len(names))] - begin[low] + 1, np.int8)
+                once = np.minimum(copies[part], 2).astype(np.int8)
+                step[begin[:-1][part] - begin[low]] = once
+                step[begin[:-1][part] - begin[low] + own] -= once
+                weights[begin[low] : begin[low] + len(step) - 1] = np.cumsum(step[:-1], dtype=np.int8)
+            _mark(text, weights, marks, disk, length)
             for low in range(0, len(names), 20_000):
                 part = np.arange(low, min(low + 20_000, len(names)))
                 local = np.asarray(marks[begin[low] : begin[part[-1] + 1]]).astype(np.int8)
@@ -182,18 +190,16 @@ def _sort_shard(length: int):
                 if len(which):
                     lists = [pa.ListArray.from_arrays(pa.array(np.append(cut, len(owner)), pa.int32()), pa.array((x - begin[owner]).astype(np.int32))) for x in (a, b)]
                     yield pa.RecordBatch.from_arrays([pa.array(names[which]), pa.array(bodies[which]), *lists], names=["name", "body", "low", "high"])
-            del text, marks
+            del text, marks, weights
 
     return run
 
 
-def _mark(text, begin, starts, copies, marks, disk, length) -> None:
+def _mark(text: np.ndarray, weights: np.ndarray, marks: np.ndarray, disk: Disk, length: int) -> None:
     """Mark every start whose first ``length`` bytes some other start has, or its own stretch has as often as it has copies."""
     pending, count = -1, 0  # of the group that goes on from the last block: a start not yet marked, and the starts so far
     for at, common in sorted_suffixes(text, disk, length):
-        owner = np.searchsorted(begin, at, "right") - 1
-        owner = np.minimum(owner, len(starts) - 1)
-        weight = np.where(at - begin[owner] < starts[owner], copies[owner], 0)
+        weight = weights[at]
         new = common < length
         if pending < 0 or new[0]:
             pending, count = -1, 0
@@ -208,13 +214,13 @@ def _mark(text, begin, starts, copies, marks, disk, length) -> None:
         if group[-1] > 0:
             pending, count = -1, 0
         if len(mine):
-            pending, count = int(at[mine[0]]), count + int(weight[mine].sum())
+            pending, count = int(at[mine[0]]), count + int(weight[mine].sum(dtype=np.int64))
 
 
 def repeated_ranges(texts: DataFrame, length: int, hot: int) -> DataFrame:
     """Per text with repeats: k1, k2 and ranges (low, high) of starts of strings that also start elsewhere."""
     spark = texts.sparkSession
-    found = _split_hot(stage(_repeated(stretches(texts, length)), "stretches"), texts, length, hot)
+    found = _split_hot(stage(_repeated(stage(stretches(texts, length), "all-stretches")), "stretches"), texts, length, hot)
     kinds = found.groupBy("name", "body").agg(F.sum("copies").alias("copies"), F.min(F.struct("k1", "k2", "first", "starts")).alias("one"))
     wanted = kinds.groupBy("one.k1", "one.k2").agg(F.collect_list(F.struct("name", "body", "copies", "one.first", "one.starts")).alias("cut"))
 
