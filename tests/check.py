@@ -68,7 +68,7 @@ def difference(spark: SparkSession, con, sf_dir: str, name: str) -> str | None:
 if __name__ == "__main__":
     sf_dir, names = sys.argv[1], sys.argv[2:]
     spark, con = session(), oracle(sf_dir)
-    for name in names or contract.queries():
+    for name in names or contract.oracle_sql():
         start = time.time()
         try:
             found = difference(spark, con, sf_dir, name)
