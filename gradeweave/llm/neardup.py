@@ -12,6 +12,11 @@ estimates, plus a runner-up. Single-linkage groups are the pieces of that tree,
 whole with a few pairs per text. Emitted pairs are verified on their whole texts; verified ones
 (weighted Jaccard ``SIMILARITY`` or more) are links, and classes are connected components.
 
+Estimates may put pairs that fail before the right one. A text with a partner it did not send, or
+was not compared with, is left open if texts of other classes are left open in one of its buckets.
+All pairs of open texts that can be similar enough are found by an exact join on their rarest
+shingles (``prefix_pairs``), without estimates, and verified, too.
+
 Equal texts are one text from the start and meet again in the result.
 
 Defined cases: null text equals the empty text; texts without words are alike only if equal;
@@ -39,6 +44,8 @@ BANDS, ROWS = 20, 4
 SAMPLES = BANDS * ROWS
 WORD_BITS = 16
 WORD_BUCKETS = 1 << WORD_BITS
+#: Counters that order shingles by how many open texts have them. Shingles that share one only make prefixes less rare.
+SHINGLE_BUCKETS = 1 << 20
 #: Estimates below this are not verified: 3.5 standard deviations under SIMILARITY.
 LEAST_AGREEMENT = int(SAMPLES * (SIMILARITY - 3.5 * (SIMILARITY * (1 - SIMILARITY) / SAMPLES) ** 0.5))
 #: Rows compared with each other at a time; what meets in larger numbers goes through in sorted blocks, each tied to the one before.
@@ -171,11 +178,14 @@ def signatures(texts: DataFrame, idf: Broadcast) -> DataFrame:
 
 
 def tree_edges(uids: np.ndarray, marks: np.ndarray, least: int = LEAST_AGREEMENT) -> tuple[np.ndarray, np.ndarray]:
-    """Edges of a spanning tree of greatest agreement, and each row's runner-up, where the agreement is enough."""
+    """Edges of a spanning tree of greatest agreement, and each row's runner-up, where the agreement is enough.
+
+    Rows with further partners of enough agreement come as edges to themselves.
+    """
     n = len(uids)
     best, link = np.full(n, -1), np.zeros(n, np.int64)
     second, other = np.full(n, -1), np.zeros(n, np.int64)
-    out = np.ones(n, bool)
+    out, partners = np.ones(n, bool), np.zeros(n, np.int64)
     now, pairs = 0, []
     for _ in range(n):
         out[now] = False
@@ -183,6 +193,7 @@ def tree_edges(uids: np.ndarray, marks: np.ndarray, least: int = LEAST_AGREEMENT
             pairs.append((now, link[now]))
         same = (marks == marks[now]).sum(1)
         same[now] = -1
+        partners[now] = (same >= least).sum()
         up = same > best
         second, other = np.where(up, best, np.where(same > second, same, second)), np.where(up, link, np.where(same > second, now, other))
         link, best = np.where(up, now, link), np.where(up, same, best)
@@ -191,43 +202,126 @@ def tree_edges(uids: np.ndarray, marks: np.ndarray, least: int = LEAST_AGREEMENT
             break
         now = left[best[left].argmax()]
     pairs += [(i, other[i]) for i in np.flatnonzero(second >= least)]
-    a = np.array(pairs, np.int64).reshape(-1, 2)
-    return uids[a[:, 0]], uids[a[:, 1]]
+    a = np.unique(np.sort(np.array(pairs, np.int64).reshape(-1, 2), axis=1), axis=0)
+    more = np.flatnonzero(partners > np.bincount(a.ravel(), minlength=n))
+    return uids[np.append(a[:, 0], more)], uids[np.append(a[:, 1], more)]
 
 
 def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by band hash; the last row of a full chunk stays as the first of the next one."""
+    """Rows sorted by band hash; the last row of a full chunk stays as the first of the next one.
+
+    Rows of a band that is not compared as a whole here (in several chunks, or first or last in its
+    task, where ranges are cut) are left open, too.
+    """
     held: list[tuple] = []
 
-    def flush(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+    def flush(rows: list[tuple], whole: bool) -> Iterator[pa.RecordBatch]:
+        uids = np.array([r[1] for r in rows], np.int64)
+        u = v = uids[:0]
         if len(rows) > 1:
-            u, v = tree_edges(np.array([r[1] for r in rows]), np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(-1, SAMPLES))
-            if len(u):
-                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v))], names=["u", "v"])
+            u, v = tree_edges(uids, np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(-1, SAMPLES))
+        if not whole:
+            u, v = np.append(u, uids), np.append(v, uids)
+        if len(u):
+            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v))], names=["u", "v"])
 
+    whole = False
     for batch in batches:
         for row in zip(*[batch.column(i).to_pylist() for i in range(3)]):
             if held and row[0] != held[0][0]:
-                yield from flush(held)
-                held = []
+                yield from flush(held, whole)
+                held, whole = [], True
             held.append(row)
             if len(held) == CHUNK:
-                yield from flush(held)
+                whole = False
+                yield from flush(held, whole)
                 held = [held[0], held[-1]]
-    yield from flush(held)
+    yield from flush(held, False)
 
 
-def candidates(found: DataFrame) -> DataFrame:
-    """Pairs (u > v) of texts to verify: a few per text."""
+def meetings(found: DataFrame) -> DataFrame:
+    """band, uid of texts that share a band with others. Written once."""
     rows = found.select("uid", F.explode("bands").alias("band"))
     shared = rows.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
-    met = stage(rows.join(shared, "band", "left_semi"), "met")
+    return stage(rows.join(shared, "band", "left_semi"), "met")
+
+
+def candidates(found: DataFrame, met: DataFrame) -> DataFrame:
+    """Pairs (u > v) of texts to verify, a few per text; (u, u) if u has partners that are not among them."""
     marked = met.join(found.select("uid", "marks"), "uid").select("band", "uid", "marks")
     # a range may end inside a band: what meets often is spread over tasks, in the order of its marks
     dealt = marked.repartitionByRange("band", "marks").sortWithinPartitions("band", "marks", "uid")
     return dealt.mapInArrow(_edges, "u bigint, v bigint").distinct()
 
 
+def left_open(met: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """uid, component of texts that meet texts of another class and were not compared with all they meet."""
+    more = pairs.where("u = v").select(F.col("u").alias("uid")).join(classes.withColumnRenamed("node", "uid"), "uid", "left")
+    rows = met.join(more.select("uid", F.coalesce("component", "uid").alias("component")), "uid")
+    mixed = rows.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("band")
+    return rows.join(mixed, "band", "left_semi").select("uid", "component").distinct()
+
+
+def _shingle_bucket(h: np.ndarray) -> np.ndarray:
+    return (mix64(h) % np.uint64(SHINGLE_BUCKETS)).astype(np.int64)
+
+
+def _count_shingles(idf: Broadcast):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(SHINGLE_BUCKETS, np.int64)
+        for _, data, offsets in blocks(batches):
+            counts += np.bincount(_shingle_bucket(shingles(*word_hashes(data, offsets), idf.value)[1]), minlength=SHINGLE_BUCKETS)
+        at = np.flatnonzero(counts)
+        for i in range(0, len(at), 100_000):
+            part = at[i : i + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(counts[part])], names=["bucket", "n"])
+
+    return run
+
+
+def _prefixes(idf: Broadcast, often: Broadcast, similarity: float):
+    """For each text its shingles, rarest first, as long as they and what comes after weigh ``similarity`` of the text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, data, offsets in blocks(batches):
+            owner, h, w = shingles(*word_hashes(data, offsets), idf.value)
+            order = np.lexsort((h, often.value[_shingle_bucket(h)], owner))
+            owner, h, w = owner[order], h[order], w[order]
+            weight = np.bincount(owner, w, len(batch))
+            total = np.concatenate([[0.0], np.cumsum(w)])
+            rest = total[np.searchsorted(owner, owner, "right")] - total[:-1]
+            keep = rest >= similarity * weight[owner] * (1 - 1e-6)
+            own = pa.array(owner[keep])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(h[keep].astype(np.int64)), batch.column(0).take(own), batch.column(1).take(own), pa.array(weight[owner[keep]]), pa.array(rest[keep])],
+                names=["shingle", "uid", "component", "weight", "rest"])
+
+    return run
+
+
+def prefix_pairs(held: DataFrame, idf: Broadcast, similarity: float) -> DataFrame:
+    """All pairs (u > v) of open texts (uid, component, text) of different classes that can be of that similarity, by an exact bound.
+
+    What two texts share weighs s / (1 + s) of both together, or more, and is not more than what
+    either has from their first common shingle on, in any one order of all shingles. With the rarest
+    first, that shingle is among the first ninth of the lighter text's weight, and the first fifth of
+    the other's (at 0.8): what a family less alike than that has in common comes later.
+    """
+    context = held.sparkSession.sparkContext
+    counts = held.mapInArrow(_count_shingles(idf), "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    often = np.zeros(SHINGLE_BUCKETS, np.int64)
+    often[counts.column("bucket").to_numpy()] = counts.column("n").to_numpy()
+    shape = "shingle bigint, uid bigint, component bigint, weight double, rest double"
+    rows = stage(held.mapInArrow(_prefixes(idf, context.broadcast(often), similarity), shape), "open-shingles")
+    share = similarity / (1 + similarity) * (1 - 1e-6)
+    one = rows.where(F.col("rest") >= 2 * share * F.col("weight")).alias("one")
+    two = rows.alias("two")
+    lighter = F.struct("one.weight", "one.uid") < F.struct("two.weight", "two.uid")
+    enough = F.least("one.rest", "two.rest") >= share * (F.col("one.weight") + F.col("two.weight"))
+    met = one.join(two, (F.col("one.shingle") == F.col("two.shingle")) & (F.col("one.component") != F.col("two.component")) & lighter & enough)
+    return met.select(F.greatest("one.uid", "two.uid").alias("u"), F.least("one.uid", "two.uid").alias("v")).distinct()
+
+
 def similarities(one: pa.Array, two: pa.Array, idf: np.ndarray) -> np.ndarray:
     """Weighted Jaccard similarity of each pair of whole texts."""
     sets = []
@@ -257,7 +351,7 @@ def verified(pairs: DataFrame, texts: DataFrame, idf: Broadcast, similarity: flo
                     yield pa.RecordBatch.from_arrays([part.column(0).filter(keep), part.column(1).filter(keep)], names=["u", "v"])
 
     used = pairs.select(F.explode(F.array("u", "v")).alias("uid")).distinct()
-    needed = stage(texts.select("uid", "text").join(used, "uid", "left_semi"), "candidate-texts")
+    needed = stage(texts.select("uid", "text").join(used.hint("shuffle_hash"), "uid", "left_semi"), "candidate-texts")
     first = pairs.join(needed.select(F.col("uid").alias("u"), F.col("text").alias("one")), "u")
     both = first.join(needed.select(F.col("uid").alias("v"), F.col("text").alias("two")), "v")
     return both.select("u", "v", "one", "two").mapInArrow(run, "u bigint, v bigint")
@@ -267,8 +361,15 @@ def text_classes(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """uid, component of every text."""
     idf = texts.sparkSession.sparkContext.broadcast(word_weights(texts))
     found = stage(signatures(texts, idf), "signatures")
-    pairs = stage(candidates(found), "pairs")
-    parts = components(verified(pairs, texts, idf, similarity))
+    met = meetings(found)
+    pairs = stage(candidates(found, met), "pairs")
+    links = stage(verified(pairs.where("u > v"), texts, idf, similarity), "verified")
+    parts = components(links)
+    opened = stage(left_open(met, pairs, parts), "open")
+    if not opened.isEmpty():
+        held = stage(texts.select("uid", "text").join(opened, "uid").select("uid", "component", "text"), "open-texts")
+        further = stage(prefix_pairs(held, idf, similarity).join(pairs, ["u", "v"], "left_anti"), "further-pairs")
+        parts = components(links.unionByName(verified(further, held, idf, similarity)))
     return texts.select("uid").join(parts.withColumnRenamed("node", "uid"), "uid", "left").select(
         "uid", F.coalesce("component", "uid").alias("component"))
 

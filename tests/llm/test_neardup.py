@@ -111,3 +111,28 @@ def test_components(spark):
     got = components.components(spark.createDataFrame(links, "u long, v long")).collect()
     assert {(r.node, r.component) for r in got} == {(x, find(x)) for a, b in links for x in (a, b) if a != b}
     assert len(got) == len({r.node for r in got})
+
+
+def family(rng, of, pairs, pool, own=9):
+    """Texts with a template in common (mutual similarity about 0.75); of each pair the second has most of what is the first's own."""
+    template = " ".join(f"t{x}" for x in rng.integers(0, 10**6, 30 * own))
+    word = lambda: f"o{rng.integers(pool)}"
+    texts = [template + " " + " ".join(word() for _ in range(own)) for _ in range(of)]
+    for i in range(pairs):
+        w = texts[2 * i].split()
+        texts[2 * i + 1] = " ".join(w[: -2 * own // 3] + [word() for _ in range(2 * own // 3)])
+    return texts
+
+
+def test_links_inside_a_family_that_is_almost_similar(spark):
+    rng = np.random.default_rng(11)
+    texts = family(rng, 240, 40, 10**6)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    idf = neardup.word_weights(neardup.distinct_texts(docs))
+    a, b = np.triu_indices(len(texts), 1)
+    sims = neardup.similarities(pa.array([texts[i] for i in a]), pa.array([texts[i] for i in b]), idf)
+    links = {(int(i), int(j)) for i, j, s in zip(a, b, sims) if s >= neardup.SIMILARITY}
+    assert {(2 * i, 2 * i + 1) for i in range(40)} <= links and 0.72 < np.median(sims) < 0.79
+    root = {(r.doc_id): r.class_id for r in neardup.near_duplicates(docs).collect()}
+    assert [(i, j) for i, j in sorted(links) if root[i] != root[j]] == []
+    assert len(set(root.values())) == len(texts) - len(links)
