@@ -9,7 +9,8 @@ one look-up per byte, plus one per escape. A text ends with a symbol of its own.
 What tasks count are strings of ORDER + 1 bytes; shorter contexts are sums of those. The trie is
 broadcast in parts of at most ``MAX_ENTRIES`` strings (or those of one pair of context bytes), by
 the last two bytes of the context: each part scores the positions that belong to it, and the
-parts' scores add up. Orders 0 and 1 are tables of fixed size that all parts have.
+parts' scores add up. Each part has a pass of its own over the stored texts, whose scores are
+written before the next part is made, so driver and workers hold one part at a time. Orders 0 and 1 are tables of fixed size that all parts have.
 
 ``base_score`` is an add-one unigram model of words. Counts of the most frequent words
 (``HEAD_WORDS`` at most) go to the tasks; all others are joined by word.
@@ -232,11 +233,8 @@ def _below(total: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.log10(np.where(kinds > 0, kinds / whole, 1.0)), np.log10(whole)
 
 
-def _parts(grams: DataFrame, pairs: list) -> Iterator[tuple[np.ndarray, Trie]]:
-    """Tries by the last two context bytes, with a mask of the pairs each answers for."""
-    low = np.zeros((256, 256), np.int64)
-    for r in grams.groupBy((F.col("key") % 65536).alias("pair")).agg(F.sum("n").alias("n")).collect():  # 65,536 at most
-        low[r.pair >> 8, r.pair & 255] += r.n
+def _groups(pairs: list) -> list[np.ndarray]:
+    """Masks of the pairs of last context bytes that each part answers for; every pair is in one of them."""
     groups, size = [[]], 0
     for pair, n in pairs:
         if size + n > MAX_ENTRIES and groups[-1]:
@@ -244,17 +242,11 @@ def _parts(grams: DataFrame, pairs: list) -> Iterator[tuple[np.ndarray, Trie]]:
             size = 0
         groups[-1].append(pair)
         size += n
-    last_two = F.shiftright("key", 8) % 65536
-    for i, group in enumerate(groups):
-        mask = np.zeros(65536, bool)
+    masks = np.zeros((len(groups), 65536), bool)
+    for mask, group in zip(masks, groups):
         mask[group] = True
-        if i == len(groups) - 1:  # pairs that were never seen go with the last one
-            mask |= ~np.isin(np.arange(65536), [p for g in groups for p in g])
-        rows = grams if len(groups) == 1 else grams.where(last_two.isin(group))
-        table = rows.select("key", "n").toArrow()
-        keys, counts = table.column("key").to_numpy().astype(np.uint64), table.column("n").to_numpy()
-        order = np.argsort(keys)
-        yield mask, Trie(keys[order], counts[order], low)
+    masks[-1] |= ~masks.any(0)  # pairs that were never seen go with the last one
+    return list(masks)
 
 
 class Model:
@@ -282,10 +274,24 @@ class Model:
     def tail(self) -> DataFrame:
         return self.words.where(self._level < self.head_level)
 
-    def tries(self) -> Iterator[tuple[np.ndarray, Trie]]:
+    def parts(self) -> list[np.ndarray]:
         pair = (F.shiftright("key", 8) % 65536).alias("pair")
-        pairs = sorted((r.pair, r.n) for r in self.grams.groupBy(pair).agg(F.count("*").alias("n")).collect())  # 65,536 at most
-        yield from _parts(self.grams, pairs)
+        return _groups(sorted((r.pair, r.n) for r in self.grams.groupBy(pair).agg(F.count("*").alias("n")).collect()))  # 65,536 at most
+
+    def low(self) -> np.ndarray:
+        """Counts by last byte and symbol, of all strings."""
+        found = np.zeros((256, 256), np.int64)
+        for r in self.grams.groupBy((F.col("key") % 65536).alias("pair")).agg(F.sum("n").alias("n")).collect():  # 65,536 at most
+            found[r.pair >> 8, r.pair & 255] += r.n
+        return found
+
+    def trie(self, mask: np.ndarray, low: np.ndarray) -> Trie:
+        """The part that answers for these pairs of last context bytes."""
+        pair = F.shiftright("key", 8) % 65536
+        table = (self.grams if mask.all() else self.grams.where(pair.isin(np.flatnonzero(mask).tolist()))).toArrow()
+        keys, counts = table.column("key").to_numpy().astype(np.uint64), table.column("n").to_numpy()
+        order = np.argsort(keys)
+        return Trie(keys[order], counts[order], low)
 
 
 FIELDS = "n_tokens bigint, n_known bigint, known_log double, tail array<bigint>, score double"
@@ -320,8 +326,7 @@ def _next_pass(trie):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mask, model = trie.value
         for batch, data, offsets in blocks(batches):
-            total = np.array(batch.column(batch.num_columns - 1)) + _scores(model, mask, data, offsets)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(total)], names=batch.schema.names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_scores(model, mask, data, offsets))], names=["rid", "score"])
 
     return run
 
@@ -341,15 +346,26 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score and score (log10 probabilities) for every row."""
     context = docs.sparkSession.sparkContext
     kind = docs.schema["doc_id"].dataType.simpleString()
-    held = docs.select("doc_id", "text")
+    held = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text")
+    masks, low = model.parts(), model.low()
+    if len(masks) > 1:  # rows are read once for each part, and must keep their numbers
+        held = stage(held, "ppm-texts")
     head = context.broadcast(model.head())
-    for i, part in enumerate(model.tries()):
-        shared = context.broadcast(part)
-        if i == 0:
-            held = held.mapInArrow(_first_pass(head, shared, 2), f"doc_id {kind}, text string, {FIELDS}")
+    done = []
+    for mask in masks:
+        shared = context.broadcast((mask, model.trie(mask, low)))
+        if not done:
+            part = held.mapInArrow(_first_pass(head, shared, 3), f"rid bigint, doc_id {kind}, text string, {FIELDS}").drop("text")
         else:
-            held = held.mapInArrow(_next_pass(shared), f"doc_id {kind}, text string, {FIELDS}")
-    rows = stage(held.drop("text").withColumn("rid", F.monotonically_increasing_id()), "ppm-scores")
+            part = held.select("rid", "text").mapInArrow(_next_pass(shared), "rid bigint, score double")
+        done.append(stage(part, "ppm-scores"))
+        shared.destroy()
+    rows = done[0]
+    if len(done) > 1:
+        scores = done[0].select("rid", "score")
+        for part in done[1:]:
+            scores = scores.unionByName(part)
+        rows = rows.drop("score").join(scores.groupBy("rid").agg(F.sum("score").alias("score")), "rid")
     rare = rows.select("rid", F.explode("tail").alias("key")).join(model.tail(), "key")
     sums = rare.groupBy("rid").agg(F.count("*").alias("_known"), F.sum(F.log10(F.col("n") + 1)).alias("_log"))
     whole = np.log10(max(1, model.total + model.kinds + 1))

@@ -85,6 +85,33 @@ def test_parts_of_the_trie_and_joined_words_change_nothing(spark, monkeypatch):
     check(spark, ROWS[:16])
 
 
+def test_one_part_at_a_time(spark, monkeypatch):
+    """No stage has more than one worker step, and a part is gone before the next one is made."""
+    steps, alive, most = [], [], []
+    stage, trie, context = ppm.stage, ppm.Trie, type(spark.sparkContext)
+    broadcast = context.broadcast
+
+    def staged(df, *rest):
+        steps.append(df._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow"))
+        return stage(df, *rest)
+
+    def shared(self, value):
+        found = broadcast(self, value)
+        if any(isinstance(x, trie) for x in value):
+            alive.append(found)
+            destroy = found.destroy
+            found.destroy = lambda *a: (alive.remove(found), destroy(*a))
+            most.append(len(alive))
+        return found
+
+    monkeypatch.setattr(ppm, "MAX_ENTRIES", 80)
+    monkeypatch.setattr(ppm, "stage", staged)
+    monkeypatch.setattr(context, "broadcast", shared)
+    check(spark, ROWS[:16])
+    assert len(most) > 1 and max(most) == 1 and not alive
+    assert max(steps) == 1
+
+
 def test_nothing_to_learn_from(spark):
     check(spark, [(i, "only held out") for i in range(60) if held_out(i)])
     docs = spark.createDataFrame([], "doc_id long, text string")
