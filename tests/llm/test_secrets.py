@@ -66,3 +66,19 @@ def test_automata_tell_formats_apart():
     assert better[:100].all() and not better[100:].any()
     whole = sum(np.exp(a.scores(np.array([x, y]), np.array([0, 2])))[0] for x in range(3) for y in range(3))
     assert whole <= 1
+
+
+def test_pieces_beside_base_matches():
+    text = b"a/9f86d081884c7d65/Zk3Qw8Lm2Rt6Yp AKIA1234567890ABCD.abcdefghijklm-deadbeefdeadbeef=short plainplainplain"
+    data, offsets = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+    starts, ends = secrets.candidates(data, offsets, secrets.base_spans(data, offsets))
+    assert [text[a:b] for a, b in zip(starts, ends)] == [b"Zk3Qw8Lm2Rt6Yp", b"abcdefghijklm", b"plainplainplain"]
+
+
+def test_few_ordinary_strings_are_enough(spark):
+    rng = np.random.default_rng(8)
+    pick = lambda letters, n: "".join(rng.choice(list(letters), n))
+    key = lambda: pick("0123456789", 6) + "-" + pick("GHIJKLMNOPQRSTUVWXYZ", 8)
+    rows = [(i, f"token={key()} {pick('aeioulnrst', 14)}" if i < 20 else f"token={key()}") for i in range(60)]
+    formats = secrets.learn(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert formats is not None
