@@ -132,12 +132,16 @@ def _band_hashes(found: np.ndarray) -> np.ndarray:
 
 
 def distinct_texts(docs: DataFrame) -> DataFrame:
-    """One row per different text: uid, md5, text, row (all columns of the row with the least doc_id). Written once."""
+    """One row per different text: uid, md5, text, row, copies (how many rows have it). Written once.
+
+    ``row`` has all columns of the row with the least doc_id; of several such rows that differ elsewhere, it is any one.
+    """
     columns = [F.col(f"`{c}`") for c in docs.columns]
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.md5(text).alias("md5"), F.struct(*columns).alias("row"), F.struct(F.col("doc_id").isNull(), "doc_id").alias("_by"))
-    kept = rows.groupBy("md5").agg(F.min_by("row", "_by").alias("row"))
-    return stage(kept.select(F.monotonically_increasing_id().alias("uid"), "md5", F.coalesce(F.col("row.text"), F.lit("")).alias("text"), "row"), "distinct-texts")
+    kept = rows.groupBy("md5").agg(F.min_by("row", "_by").alias("row"), F.count("*").alias("copies"))
+    uid, whole = F.monotonically_increasing_id().alias("uid"), F.coalesce(F.col("row.text"), F.lit("")).alias("text")
+    return stage(kept.select(uid, "md5", whole, "row", "copies"), "distinct-texts")
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,7 +316,9 @@ def prefix_pairs(held: DataFrame, idf: Broadcast, similarity: float) -> DataFram
     often = np.zeros(SHINGLE_BUCKETS, np.int64)
     often[counts.column("bucket").to_numpy()] = counts.column("n").to_numpy()
     shape = "shingle bigint, uid bigint, component bigint, weight double, rest double"
-    rows = stage(held.mapInArrow(_prefixes(idf, context.broadcast(often), similarity), shape), "open-shingles")
+    shared = context.broadcast(often)
+    rows = stage(held.mapInArrow(_prefixes(idf, shared, similarity), shape), "open-shingles")
+    shared.destroy()
     share = similarity / (1 + similarity) * (1 - 1e-6)
     one = rows.where(F.col("rest") >= 2 * share * F.col("weight")).alias("one")
     two = rows.alias("two")
@@ -363,25 +369,37 @@ def text_classes(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     found = stage(signatures(texts, idf), "signatures")
     met = meetings(found)
     pairs = stage(candidates(found, met), "pairs")
-    links = stage(verified(pairs.where("u > v"), texts, idf, similarity), "verified")
-    parts = components(links)
+    parts = components(verified(pairs.where("u > v"), texts, idf, similarity))
+    classes = texts.select("uid").join(parts.withColumnRenamed("node", "uid"), "uid", "left").select("uid", F.coalesce("component", "uid").alias("component"))
     opened = stage(left_open(met, pairs, parts), "open")
     if not opened.isEmpty():
         held = stage(texts.select("uid", "text").join(opened, "uid").select("uid", "component", "text"), "open-texts")
         further = stage(prefix_pairs(held, idf, similarity).join(pairs, ["u", "v"], "left_anti"), "further-pairs")
-        parts = components(links.unionByName(verified(further, held, idf, similarity)))
-    return texts.select("uid").join(parts.withColumnRenamed("node", "uid"), "uid", "left").select(
-        "uid", F.coalesce("component", "uid").alias("component"))
+        # what the first links have joined is one node now
+        class_of = opened.withColumnRenamed("component", "to")
+        links = verified(further, held, idf, similarity)
+        for end in ("u", "v"):
+            links = links.join(class_of.withColumnRenamed("uid", end), end).drop(end).withColumnRenamed("to", end)
+        joined = components(links.distinct()).select(F.col("node").alias("component"), F.col("component").alias("_whole"))
+        classes = classes.join(joined, "component", "left").select("uid", F.coalesce("_whole", "component").alias("component"))
+    classes = stage(classes, "text-classes")
+    idf.destroy()
+    return classes
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, class_id (the least doc_id of its class) and class_size, for every row."""
+    """doc_id, class_id (the least doc_id of its class) and class_size, for every row.
+
+    Classes get their names from different texts; rows only meet their own text.
+    """
     held = docs.select("doc_id", "text")
     texts = distinct_texts(held)
-    classes = stage(texts.select("uid", "md5").join(text_classes(texts, similarity), "uid").select("md5", "component"), "text-classes")
-    rows = stage(held.select("doc_id", F.md5(F.coalesce(F.col("text"), F.lit(""))).alias("md5")).join(classes, "md5"), "classes")
-    names = rows.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
-    return rows.join(names, "component").select("doc_id", "class_id", "class_size")
+    own = texts.select("uid", "md5", "copies", F.col("row.doc_id").alias("doc_id"))
+    members = stage(own.join(text_classes(texts, similarity), "uid"), "class-members")
+    names = members.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.sum("copies").alias("class_size"))
+    named = stage(members.select("md5", "component").join(stage(names, "class-names"), "component").drop("component"), "named-texts")
+    rows = held.select("doc_id", F.md5(F.coalesce(F.col("text"), F.lit(""))).alias("md5"))
+    return rows.join(named, "md5").select("doc_id", "class_id", "class_size")
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
