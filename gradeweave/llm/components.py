@@ -53,11 +53,11 @@ def components(links: DataFrame) -> DataFrame:
     given = links.where("u <> v").select(F.col("u").cast("bigint").alias("u"), F.col("v").cast("bigint").alias("v"))
     edges, size = _written(given.mapInArrow(_joined, "u bigint, v bigint").distinct())
     while size.get("n"):
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("least"))
-        # large star: greater neighbours, and the node itself, to the smallest of all
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("least").alias("v"))
-        large = large.unionByName(least.where("u > least").select("u", F.col("least").alias("v")))
+        # large star: a node's greater neighbours, and the node itself, to the smallest of all. Links come from the greater
+        # node to the smaller, so the centre of a great star has none of its own, and its rows meet a stored table
+        least = stage(edges.groupBy("u").agg(F.min("v").alias("least")), "least")
+        to = least.select(F.col("u").alias("v"), "least")
+        large = edges.join(to, "v", "left").select("u", F.coalesce("least", "v").alias("v")).unionByName(least.select("u", F.col("least").alias("v")))
         # small star: a node's smaller neighbours to the smallest of them
         low = large.groupBy("u").agg(F.min("v").alias("least"))
         small = large.join(low, "u").where("v > least").select(F.col("v").alias("u"), F.col("least").alias("v"))
