@@ -2,12 +2,13 @@
 
 A text is the mean of the embeddings of its hashed byte n-grams (2 to 4 bytes of the lower-cased
 text, everything but letters being one space), then a linear softmax. Trained in numpy by
-stochastic gradient descent. As the mean comes before the linear layer, each bucket's
-embedding times the output weights is one number per language, so a whole text is scored by
-summing those numbers over its n-grams.
+stochastic gradient descent. As the mean comes before the linear layer, a bucket is worth its
+embedding times the output weights: one number per language, or the embedding itself where there are
+more languages than dimensions. A whole text is scored by summing over its n-grams.
 
-Training reads a bounded sample: about ``SAMPLE_DOCS`` labelled documents of the training folds
-by hash of doc_id, ``PIECES`` pieces of ``PIECE_BYTES`` bytes of each. Predictions read whole texts.
+Training reads a bounded sample, the whole texts of ``SAMPLE_DOCS`` labelled rows of the training
+folds, those of least hash, in pieces of ``PIECE_BYTES`` bytes. One task fits the model, and the
+driver only hands it on. Predictions read whole texts.
 
 Rejection: on labelled documents kept out of the gradient steps, the temperature is fitted and the
 threshold is set so that at most ``ALPHA`` of rightly labelled texts fall below it, and never above 0.5.
@@ -19,6 +20,7 @@ other columns are ignored, or passed on by ``keep_identified``.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,9 +32,8 @@ from pyspark.sql import functions as F
 from gradeweave.llm.textnum import blocks, byte_set
 
 BUCKET_BITS, DIM, GRAMS = 16, 16, (2, 3, 4)
-SAMPLE_DOCS, PIECES, PIECE_BYTES = 6000, 4, 240
+SAMPLE_DOCS, PIECE_BYTES = 800, 240
 EPOCHS, BATCH, RATE, ALPHA = 4, 64, 4.0, 0.001
-MAX_LANGS = 400
 
 # Letters are a to z and everything outside ASCII; UTF-8 bytes of punctuation there do no harm.
 _FOLD = np.full(256, 32, np.uint8)
@@ -71,24 +72,36 @@ def grams(text: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 @dataclass
 class Model:
     langs: list[str]
-    logits: np.ndarray  # language, bucket
+    weights: np.ndarray  # (dimension, bucket): one per language, or as many as ``out`` has
     bias: np.ndarray
+    out: np.ndarray | None = None  # dimension, language
     temperature: float = 1.0
     threshold: float = 0.0
 
     def probabilities(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         text, starts = spaced(data, offsets)
-        n_docs, n_langs = len(offsets) - 1, len(self.langs)
-        total, count = np.zeros((n_docs, n_langs)), np.zeros(n_docs)
+        n_docs = len(offsets) - 1
+        total, count = np.zeros((n_docs, len(self.weights))), np.zeros(n_docs)
         for n, ids in grams(text):
             first = np.minimum(starts[:-1], len(ids))
             last = np.maximum(np.minimum(starts[1:] + 1 - (n - 1), len(ids)), first)
             count += last - first
-            for k in range(n_langs):
-                sums = np.concatenate([[0.0], np.cumsum(self.logits[k][ids], dtype=np.float64)])
+            for k, weight in enumerate(self.weights):
+                sums = np.concatenate([[0.0], np.cumsum(weight[ids], dtype=np.float64)])
                 total[:, k] += sums[last] - sums[first]
-        z = (total / np.maximum(count, 1)[:, None] + self.bias) / self.temperature
-        return _softmax(z)
+        mean = total / np.maximum(count, 1)[:, None]
+        return _softmax(((mean if self.out is None else mean @ self.out) + self.bias) / self.temperature)
+
+    def best(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each document's likeliest language and its probability; tables of documents and languages stay small."""
+        step = max(1, (1 << 22) // max(1, len(self.langs)))
+        found = []
+        for at in range(0, max(1, len(offsets) - 1), step):
+            cut = offsets[at : at + step + 1]
+            p = self.probabilities(data[cut[0] : cut[-1]], cut - cut[0])
+            kind = p.argmax(1)
+            found.append((kind, p[np.arange(len(p)), kind]))
+        return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -98,7 +111,7 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 def _bag(piece: bytes) -> np.ndarray:
     text, _ = spaced(np.frombuffer(piece, np.uint8), np.array([0, len(piece)]))
-    return np.concatenate([np.zeros(0, np.uint32), *[ids for _, ids in grams(text)]])
+    return np.concatenate([np.zeros(0, np.uint16), *[ids.astype(np.uint16) for _, ids in grams(text)]])  # BUCKET_BITS are 16
 
 
 def fit(pieces: list[bytes], labels: list[str], seed: int = 1) -> Model:
@@ -125,9 +138,11 @@ def fit(pieces: list[bytes], labels: list[str], seed: int = 1) -> Model:
             pull = (d @ out.T / sizes[:, None]).astype(np.float32)
             out -= (rate * (h.T @ d)).astype(np.float32)
             bias -= (rate * 0.1 * d.sum(0)).astype(np.float32)
-            np.subtract.at(embed, ids, np.float32(rate * 20) * np.repeat(pull, sizes, 0))
+            order = np.argsort(ids, kind="stable")
+            used, first = np.unique(ids[order], return_index=True)
+            embed[used] -= np.float32(rate * 20) * np.add.reduceat(np.repeat(pull, sizes, 0)[order], first, axis=0)
             done += 1
-    model = Model(langs, np.ascontiguousarray((embed @ out).T), bias)
+    model = Model(langs, np.ascontiguousarray((embed @ out).T), bias) if len(langs) <= DIM else Model(langs, np.ascontiguousarray(embed.T), bias, out)
     check = np.flatnonzero(held)
     if len(check) and len(langs) > 1:
         body = [pieces[i] for i in check]
@@ -143,34 +158,33 @@ def fit(pieces: list[bytes], labels: list[str], seed: int = 1) -> Model:
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whole texts as pieces, with their language."""
     for batch, data, offsets in blocks(batches):
-        rows = []
-        for lang, a, b in zip(batch.column(1).to_pylist(), offsets, offsets[1:]):
-            for i in range(PIECES):
-                at = a + (b - a) * i // PIECES
-                rows.append((data[at : min(b, at + PIECE_BYTES)].tobytes(), lang))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.string())], ["piece", "lang"])
+        rows = [(data[at : min(at + PIECE_BYTES, b)].tobytes(), lang)
+                for lang, a, b in zip(batch.column(1).to_pylist(), offsets, offsets[1:]) for at in range(a, b, PIECE_BYTES)]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.string())], ["piece", "lang"])
 
 
-def train(docs: DataFrame, sample: int = SAMPLE_DOCS) -> Model:
-    """Fit on about ``sample`` labelled documents, chosen by hash of doc_id; their pieces are all that comes to the driver."""
-    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~fold())
-    n = labelled.count()
-    part = min(1.0, sample / max(1, n))
-    chosen = labelled.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) < int(part * (1 << 30)))
-    rows = chosen.select("text", "lang").mapInArrow(_pieces, "piece binary, lang string").collect()
-    rows = sorted((bytes(r.piece), r.lang) for r in rows)
+def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row with the model of all pieces of the sample, which are in no order."""
+    rows = sorted(row for batch in _pieces(batches) for row in zip(*[c.to_pylist() for c in batch.columns]))
     np.random.default_rng(3).shuffle(rows)
-    if len({lang for _, lang in rows}) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} labels")
-    return fit([p for p, _ in rows], [lang for _, lang in rows]) if rows else Model([], np.zeros((0, 1), np.float32), np.zeros(0))
+    model = fit([p for p, _ in rows], [lang for _, lang in rows]) if rows else Model([], np.zeros((0, 1), np.float32), np.zeros(0))
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+
+def train(docs: DataFrame, sample: int = SAMPLE_DOCS) -> Model:
+    """Fit on ``sample`` labelled rows, chosen by a hash of doc_id and text; at most so many rows meet in the task that fits."""
+    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~fold()).select("text", F.col("lang").cast("string").alias("lang"), "doc_id")
+    chosen = labelled.orderBy(F.xxhash64("doc_id", "text"), "doc_id", "lang").limit(sample).select("text", "lang")
+    found = chosen.coalesce(1).mapInArrow(_fitted, "model binary").first()
+    return pickle.loads(found.model) if found else Model([], np.zeros((0, 1), np.float32), np.zeros(0))
 
 
 def identify(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """``keep`` columns, named _0, _1, ..., with lang_pred, score and rejected.
 
-    The model is at most MAX_LANGS numbers per bucket: broadcast.
+    The model is at most DIM numbers per bucket, and per language of the sample: broadcast.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -179,9 +193,8 @@ def identify(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
         for batch, data, offsets in blocks(batches, "_text"):
             letters = batch.column(batch.schema.get_field_index("_letters")).to_numpy(zero_copy_only=False).astype(bool)
             if m.langs:
-                p = m.probabilities(data, offsets)
-                best = p.argmax(1)
-                score = np.where(letters, p[np.arange(len(p)), best], 0.0)
+                best, chance = m.best(data, offsets)
+                score = np.where(letters, chance, 0.0)
                 pred = [m.langs[k] if ok else "und" for k, ok in zip(best, letters)]
                 rejected = ~letters | (score < m.threshold)
             else:
