@@ -1,6 +1,7 @@
 """Command line: set up the stored relations, write all fixed reports, search open rooms.
 
     python -m gradeweave setup REPORTS ROOT [--go-on]
+    python -m gradeweave add REPORTS ROOT [--go-on]
     python -m gradeweave reports ROOT OUT [--print]
     python -m gradeweave open-rooms ROOT TERM CID EXTRA
 """
@@ -12,6 +13,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from gradeweave.operators.rooms import smallest_rooms
+from gradeweave.plans.loading import add_reports
 from gradeweave.plans.reports import RoomPlan, fixed_reports
 from gradeweave.plans.setup import issue_counts, load_reports, table_quality
 from gradeweave.sources.tables import Stored
@@ -24,6 +26,10 @@ def main(argv: list[str] | None = None) -> None:
     setup.add_argument("reports")
     setup.add_argument("root")
     setup.add_argument("--go-on", action="store_true", help="leave out records whose quotes are never closed")
+    add = commands.add_parser("add", help="read report files that no load has looked at, and merge the accepted ones into the relations")
+    add.add_argument("reports")
+    add.add_argument("root")
+    add.add_argument("--go-on", action="store_true", help="leave out records whose quotes are never closed")
     reports = commands.add_parser("reports", help="write every fixed report, whole")
     reports.add_argument("root")
     reports.add_argument("out", help="folder: each report is a CSV folder in it")
@@ -40,6 +46,9 @@ def main(argv: list[str] | None = None) -> None:
         stored = load_reports(spark, args.reports, args.root, args.go_on)
         _print("issues", issue_counts(stored))
         _print("violations", table_quality(stored).where("violations > 0"))
+    elif args.command == "add":
+        stored = add_reports(spark, args.reports, args.root, args.go_on)
+        _print("rejected files", stored.manifest.where("not accepted").drop("bytes", "load", "accepted").orderBy("file"))
     elif args.command == "reports":
         for name, report in fixed_reports(Stored(spark, args.root)).items():
             path = f"{args.out}/{name}"
