@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gradeweave.sources.shared import stage
+
 TARGETS = (("ABC", "203"), ("ABC", "210"), ("ABC", "222"))
 
 # Bucket labels with their exclusive lower bounds.
@@ -108,6 +110,35 @@ def prereq_share(
     return shares if at_least is None else shares.where(F.col("share") >= at_least)
 
 
+def prereq_share_of(
+    enroll: DataFrame,
+    course: DataFrame,
+    targets: DataFrame | None = None,
+    at_least: float | None = None,
+) -> DataFrame:
+    """The same for a table of targets (subj, crse) of any size, or for every course.
+
+    Histories are one row per (student, course), so one student is no more rows than there are
+    courses, however often they enrol. Each of a student's target rows meets that student's rows that
+    begin earlier; the pairs are counted where they arise, and only counts per pair of courses are
+    shuffled. The counts are as many as there are pairs of courses that somebody took in that order.
+    """
+    taken = stage(
+        enroll.join(course.select("term", "cid", "subj", "crse").join(term_numbers(course), "term"), ["term", "cid"])
+        .where(F.col("sid").isNotNull()).groupBy("sid", "subj", "crse")
+        .agg(F.min("term_number").alias("first_term"), F.max("term_number").alias("last_term")), "histories")
+    attempts = taken if targets is None else taken.join(targets.select("subj", "crse").distinct(), ["subj", "crse"], "left_semi")
+    attempts = attempts.select("sid", F.col("subj").alias("target_subj"), F.col("crse").alias("target_crse"), "last_term")
+    keys = ["target_subj", "target_crse"]
+    takers = attempts.groupBy(*keys).agg(F.count("*").alias("takers"))
+    had = (
+        taken.select("sid", "subj", "crse", "first_term").join(attempts, "sid").where(F.col("first_term") < F.col("last_term"))
+        .groupBy(*keys, "subj", "crse").agg(F.count("*").alias("had"))
+    )
+    shares = had.join(takers, keys).select(*keys, "subj", "crse", (F.col("had") / F.col("takers")).alias("share"))
+    return shares if at_least is None else shares.where(F.col("share") >= at_least)
+
+
 def prereq_buckets(shares: DataFrame, digits: int = 3) -> DataFrame:
     """Bucket label per share, bounds exclusive; shares of exactly the lowest bound fall in none."""
     label = F.lit(None).cast("string")

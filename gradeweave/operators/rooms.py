@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gradeweave.sources.shared import stage
+
 SECTION = ["term", "cid"]
 PLACE = ["term", "build", "room", "day"]
 SLOT = ["st", "en"]
@@ -84,6 +86,59 @@ def room_conflicts(booked: DataFrame, conflicting: DataFrame) -> DataFrame:
     )
 
 
+def conflict_links(booked: DataFrame) -> DataFrame:
+    """Pairs of conflicting bookings as counts: per place and pair of slots how many there are, and the first one.
+
+    A pair is a booking in the first slot (st1, en1) and one of a higher course number under another
+    instructor in the second (st2, en2), which overlaps the first or is the same. Bookings are not
+    paired. Of all pairs in the order of course numbers those under one instructor are taken away,
+    and both are sums over running counts by course number, which meet once per pair of slots. The
+    first pair is the first booking that has a partner, told by the two rivals of the other slot,
+    with the first of its partners. ``booked`` is read several times: pass a stored table.
+    """
+    one, two = ["st1", "en1"], ["st2", "en2"]
+    slots = booked.select(*PLACE, *SLOT).distinct()
+    pairs = stage(
+        slots.select(*PLACE, F.col("st").alias("st1"), F.col("en").alias("en1"))
+        .join(slots.select(*PLACE, F.col("st").alias("st2"), F.col("en").alias("en2")), PLACE)
+        .where((F.col("st1") < F.col("en2")) & (F.col("en1") > F.col("st2"))), "slot-pairs")
+    key = [*PLACE, *one, *two]
+
+    def side(counts: DataFrame, names: list[str]) -> DataFrame:
+        return pairs.join(counts.withColumnsRenamed(dict(zip(SLOT, names))), [*PLACE, *names])
+
+    def ordered(by: list[str]) -> DataFrame:
+        """Pairs of bookings in the order of their course numbers, by ``by`` as well."""
+        counts = booked.groupBy(*PLACE, *SLOT, *by, "crse").agg(F.count("*").alias("n"))
+        both = side(counts, one).select(*key, *by, "crse", F.col("n").alias("n1"), F.lit(0).cast("bigint").alias("n2")).unionByName(
+            side(counts, two).select(*key, *by, "crse", F.lit(0).cast("bigint").alias("n1"), F.col("n").alias("n2")))
+        steps = both.groupBy(*key, *by, "crse").agg(F.sum("n1").alias("n1"), F.sum("n2").alias("n2"))
+        lower = F.sum("n1").over(Window.partitionBy(*key, *by).orderBy("crse").rowsBetween(Window.unboundedPreceding, -1))
+        return steps.withColumn("links", F.col("n2") * F.coalesce(lower, F.lit(0))).groupBy(*key).agg(F.sum("links").alias("links"))
+
+    links = ordered([]).join(ordered(["full_name"]).withColumnRenamed("links", "own"), key).select(*key, (F.col("links") - F.col("own")).alias("links"))
+    links = stage(links.where(F.col("links") > 0), "links")
+    first, second = F.col("rank") == 1, F.col("rank") == 2
+    rivals = _two_rivals(booked, [*PLACE, *SLOT]).groupBy(*PLACE, *SLOT).agg(
+        F.max(F.when(first, F.col("crse"))).alias("crse_1"), F.max(F.when(first, F.col("full_name"))).alias("name_1"),
+        F.max(F.when(second, F.col("crse"))).alias("crse_2")).withColumnsRenamed(dict(zip(SLOT, two)))
+    rival = F.when(F.col("name_1") != F.col("full_name"), F.col("crse_1")).otherwise(F.col("crse_2"))
+    begins = (
+        links.join(booked.withColumnsRenamed(dict(zip(SLOT, one))), [*PLACE, *one]).join(rivals, [*PLACE, *two])
+        .where(rival > F.col("crse")).groupBy(*key).agg(F.min(F.struct("subj", "crse")).alias("a"))
+    )
+    # all who hold the first booking's course in its slot: two names are enough to know who else there is
+    holders = _units(booked).withColumnsRenamed(dict(zip(SLOT, one))).withColumn("a", F.struct("subj", "crse")).drop("subj", "crse")
+    partner = booked.withColumnsRenamed(dict(zip(SLOT, two)))
+    ends = (
+        begins.join(holders, [*PLACE, *one, "a"]).join(partner, [*PLACE, *two])
+        .where((F.col("crse") > F.col("a.crse")) & ((F.col("full_name") != F.col("first_name")) | (F.col("full_name") != F.col("last_name"))))
+        .groupBy(*key, "a").agg(F.min(F.struct("subj", "crse")).alias("b"))
+    )
+    return links.join(ends, key).select(
+        *key, "links", F.col("a.subj").alias("subj1"), F.col("a.crse").alias("crse1"), F.col("b.subj").alias("subj2"), F.col("b.crse").alias("crse2"))
+
+
 def room_peaks(
     enroll: DataFrame, meeting: DataFrame, daytime: DataFrame, excluded_terms: DataFrame, term: str | None = None
 ) -> DataFrame:
@@ -158,6 +213,46 @@ def smallest_rooms(rooms: DataFrame, top: int = 5) -> DataFrame:
     return rooms.orderBy("cap", "build", "room").limit(top)
 
 
+def open_rooms_for(
+    capacity: DataFrame, peaks: DataFrame, course: DataFrame, meeting: DataFrame, requests: DataFrame, top: int = 5, distinct: bool = False
+) -> DataFrame:
+    """The ``top`` smallest rooms for each of many requests (term, cid, extra): what ``open_rooms`` and ``smallest_rooms`` say of each.
+
+    The free rooms of a requested term stand in one order, by capacity. A request needs all from the
+    first that is large enough, whose place is the number of smaller ones: found for each different
+    size asked for in a term, in one pass over both in order. Places are then equal keys, ``top`` of
+    them per request, so nothing is compared room by room. A room is repeated once per meeting of the
+    course in its fullest room, unless ``distinct``.
+    """
+    asked = stage(requests.select(*SECTION, "extra").distinct(), "requests")
+    terms = asked.select("term").distinct()
+    in_term = meeting.join(terms, "term", "left_semi")
+    used = stage(in_term.join(course.select(*SECTION), SECTION, "left_semi").select(*SECTION, "build", "room"), "used")
+    all_terms = terms.agg(F.collect_set("term")).scalar()  # as many as terms are asked for
+    free = capacity.where(F.col("capacity").isNotNull()).select("build", "room", "capacity", F.explode(all_terms).alias("term"))
+    free = free.join(used.select("term", "build", "room").distinct(), ["term", "build", "room"], "left_anti")
+    place = F.row_number().over(Window.partitionBy("term").orderBy("capacity", "build", "room"))
+    free = stage(free.withColumn("place", place), "free-rooms")
+    largest = free.groupBy("term").agg(F.max("capacity").alias("largest"))
+    current = (
+        asked.join(used, SECTION).groupBy(*SECTION, "extra", "build", "room").agg(F.count("*").alias("meetings"))
+        .join(peaks, ["term", "build", "room"]).join(largest, "term").where(F.col("peak") + F.col("extra") <= F.col("largest"))
+        .groupBy(*SECTION, "extra", F.col("peak").alias("filled")).agg(F.sum("meetings").alias("meetings"))
+        .groupBy(*SECTION, "extra").agg(F.max(F.struct("filled", "meetings")).alias("f"))
+        .select(*SECTION, "extra", "f.filled", F.lit(1).alias("copies") if distinct else F.col("f.meetings").alias("copies"))
+        .withColumn("size", F.col("filled") + F.col("extra"))
+    )
+    current = stage(current, "asked-sizes")
+    sizes = current.select("term", F.col("size").alias("capacity")).distinct().withColumn("rooms", F.lit(0))
+    line = free.groupBy("term", "capacity").agg(F.count("*").cast("int").alias("rooms")).unionByName(sizes)
+    line = line.groupBy("term", "capacity").agg(F.sum("rooms").alias("rooms"))
+    smaller = F.sum("rooms").over(Window.partitionBy("term").orderBy("capacity").rowsBetween(Window.unboundedPreceding, -1))
+    starts = line.select("term", F.col("capacity").alias("size"), F.coalesce(smaller, F.lit(0)).alias("smaller"))
+    wanted = current.join(starts, ["term", "size"]).withColumn("number", F.explode(F.sequence(F.lit(0), F.lit(top - 1))))
+    wanted = wanted.withColumn("place", (F.col("smaller") + 1 + F.floor(F.col("number") / F.col("copies"))).cast("int"))
+    return wanted.join(free, ["term", "place"]).select(*SECTION, "extra", (F.col("number") + 1).alias("rank"), "build", "room", F.col("capacity").alias("cap"), "filled")
+
+
 def _parts(slots: DataFrame) -> DataFrame:
     """Per place and slot, the parts of the day it covers: those that begin at a start or end of some slot there.
 

@@ -110,6 +110,10 @@ def test_histories_by_brute_force(spark):
                 want[(*target, *other)] = len(had) / len(takers)
     got = {r[:4]: r[4] for r in rows(cohorts.prereq_share(e, c, targets=[("ABC", "203"), ("ABC", "210")]))}
     assert got == pytest.approx(want) and len(want) == 8
+    table = spark.createDataFrame([("ABC", "203"), ("ABC", "210"), ("ABC", "203"), ("XYZ", "1")], "subj string, crse string")
+    assert {r[:4]: r[4] for r in rows(cohorts.prereq_share_of(e, c, table))} == pytest.approx(want)
+    every = {r[:4]: r[4] for r in rows(cohorts.prereq_share_of(e, c))}
+    assert len({k[:2] for k in every}) == 4 and {k: v for k, v in every.items() if k[:2] in (("ABC", "203"), ("ABC", "210"))} == pytest.approx(want)
 
 
 def test_buckets(spark):

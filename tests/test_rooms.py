@@ -65,6 +65,12 @@ def test_conflicts(spark, seed, backward):
     assert {(r.st, r.en): tuple(r)[2:] for r in rows} == first and len(rows) == len(first)
     assert {r.term for r in plan.excluded_terms.collect()} == {p[0] for p in first.values()}
 
+    links = {}
+    for a, b in set(pairs):
+        links.setdefault((*a[:6], *b[4:6]), []).append((a[6], a[7], b[6], b[7]))
+    got = {tuple(r)[:8]: tuple(r)[8:] for r in rooms.conflict_links(plan.booked).collect()}
+    assert got == {key: (len(found), *min(found)) for key, found in links.items()}
+
 
 def test_peaks_capacity_and_open_rooms(spark):
     course = [("199601", i, "ABC", str(i)) for i in range(1, 5)] + [("199506", 9, "ABC", "1"), ("199506", 10, "ABC", "2")]
@@ -99,6 +105,36 @@ def test_peaks_capacity_and_open_rooms(spark):
     assert [(r.room, r.cap) for r in top.collect()] == [(0, 10), (0, 10), (1, 11), (1, 11), (2, 12)]
 
 
+@pytest.mark.parametrize("distinct", [False, True])
+def test_many_requests_are_answered_like_each(spark, distinct):
+    rng = random.Random(5)
+    course, meeting = [], []
+    for term in ("200101", "200103", "200106"):
+        for cid in range(8):
+            course.append((term, cid, "ABC", str(cid)))
+            meeting += [(term, cid, pos, "P", rng.choice([1, 2, 3, None]), rng.choice("AB")) for pos in range(rng.randint(1, 3))]
+    book = Book(spark, course, meeting, [])
+    capacity = spark.createDataFrame([(b, r, rng.choice([None, 5, 8, 8, 12, 30])) for b in "ABCD" for r in range(1, 6)], "build string, room int, capacity bigint")
+    peaks = spark.createDataFrame([(b, r, t, rng.randint(1, 25)) for t in ("200101", "200103") for b in "AB" for r in (1, 2, 3)],
+                                  "build string, room int, term string, peak bigint")
+    requests = [(t, c, rng.choice([0, 0, 2, 9])) for t, c, *_ in course] + [("200101", 0, 1), ("200101", 0, 1), ("199901", 1, 0)]
+    table = spark.createDataFrame(requests, "term string, cid int, extra int")
+    got = {}
+    for r in rooms.open_rooms_for(capacity, peaks, book.course, book.meeting, table, distinct=distinct).collect():
+        got.setdefault((r.term, r.cid, r.extra), []).append((r["rank"], r.build, r.room, r.cap, r.filled))
+    want = {}
+    for term, cid, extra in set(requests):
+        own = [(b, r) for t, c, _, _, r, b in meeting if (t, c) == (term, cid)]
+        used = {(b, r) for t, _, _, _, r, b in meeting if t == term}
+        free = sorted((r.capacity, r.build, r.room) for r in capacity.collect() if r.capacity is not None and (r.build, r.room) not in used)
+        held = [r.peak for place in own for r in peaks.collect() if (r.build, r.room, r.term) == (*place, term) and free and r.peak + extra <= free[-1][0]]
+        if held:
+            copies = 1 if distinct else held.count(max(held))
+            five = [x for x in free if x[0] >= max(held) + extra for _ in range(copies)][:5]
+            want[term, cid, extra] = [(i, b, r, c, max(held)) for i, (c, b, r) in enumerate(five, 1)]
+    assert {k: sorted(v) for k, v in got.items()} == want and want
+
+
 def test_open_rooms_uses_fullest_room_that_fits_anywhere(spark):
     course = [("200101", 1, "ABC", "1")]
     meeting = [("200101", 1, 1, "P", 1, "A"), ("200101", 1, 2, "P", 2, "A")]
