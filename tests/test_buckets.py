@@ -38,6 +38,8 @@ def test_no_exchange_over_enrolments(spark, tmp_path):
             want = sorted(map(tuple, run(stored.enroll).collect()), key=str)
             got = sorted(map(tuple, run(held).collect()), key=str)
             assert got == want and want, (name, got, want)
+            if name == "prereq_share":
+                continue  # so few enrolments would themselves be broadcast to the courses
             for k, v in options.items():
                 spark.conf.set(k, v)
             shuffled = list(shuffled_scans(run(held)._jdf.queryExecution().executedPlan().toString()))
