@@ -137,19 +137,23 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5,
 def mixed_rows(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
     """The mixed corpus: every row as often as the mix takes it; all columns of ``docs``. Rows without words stay once.
 
-    ``docs`` is read twice and must give its rows in the same order, as stored tables do. Only the
-    thresholds, a row per source, are brought to the texts.
+    Only the thresholds, a row per source, are brought to the texts. Rows are told by what is in them,
+    so ``docs`` may give its rows in any order each time; the rows with the hash at which a budget ends
+    (copies of one document, as a rule) are stored before they are numbered.
     """
     columns = docs.columns
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), "doc_id", "source", "text").withColumns(_measures())
     held = held.select("_row", "_key", "_size", "_hash", "_rid")
-    measured = stage(held.drop("_row"), "mix-sizes")
-    found = thresholds(measured, weights, share, most)
+    found = thresholds(stage(held.drop("_row"), "mix-sizes"), weights, share, most)
+    priced = held.join(found, "_key")
+    at_end = F.coalesce((F.col("_hash") == F.col("_at")) & (F.col("_size") > 0), F.lit(False))
+    tied = stage(priced.where(at_end).select(held.columns), "mix-tied-rows")
+    ties = _with_times(tied, found, _chosen_ties(tied.drop("_row"), found))
+    more = F.when((F.col("_size") > 0) & (F.col("_hash") < F.col("_at")), F.lit(1)).otherwise(F.lit(0))
+    rest = priced.where(~at_end).withColumn("_times", F.col("_copies") + more)
     times = F.when(F.col("_size") > 0, F.col("_times")).otherwise(F.lit(1)).cast("int")
-    return (
-        _with_times(held, found, _chosen_ties(measured, found)).withColumn("_times", times).where("_times > 0")
-        .select("_row", F.explode(F.array_repeat(F.lit(0), F.col("_times"))).alias("_copy")).select("_row.*")
-    )
+    both = rest.select("_row", times.alias("_times")).unionByName(ties.select("_row", times.alias("_times")))
+    return both.where("_times > 0").select("_row", F.explode(F.array_repeat(F.lit(0), F.col("_times"))).alias("_copy")).select("_row.*")
 
 
 SQL = r"""

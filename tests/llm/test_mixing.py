@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from gradeweave.llm import mixing
 
@@ -62,3 +63,7 @@ def test_copies_and_a_hot_source(spark):
         if r.doc_id != 9999:
             times[r.doc_id, r.source] = times.get((r.doc_id, r.source), 0) + size(r.text)
     assert {k: v for k, v in taken.items() if v} == {k: v for k, v in times.items() if v}
+    copies = sum(r.doc_id == 9999 for r in kept.collect())
+    assert copies * 15 == sum(r.taken for r in got if r.doc_id == 9999) and copies % 300
+    shuffled = docs.orderBy(F.rand())  # in another order whenever it is read
+    assert sorted(map(str, mixing.mixed_rows(shuffled).collect())) == sorted(map(str, kept.collect()))
