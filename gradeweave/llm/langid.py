@@ -6,8 +6,8 @@ stochastic gradient descent. As the mean comes before the linear layer, a bucket
 embedding times the output weights: one number per language, or the embedding itself where there are
 more languages than dimensions. A whole text is scored by summing over its n-grams.
 
-Training reads a bounded sample, the whole texts of ``SAMPLE_DOCS`` labelled rows of the training
-folds, those of least hash, in pieces of ``PIECE_BYTES`` bytes. One task fits the model, and the
+Training reads a bounded sample, the whole texts of at most ``SAMPLE_DOCS`` labelled documents of the
+training folds, chosen by hash, in pieces of ``PIECE_BYTES`` bytes. One task fits the model, and the
 driver only hands it on. Predictions read whole texts.
 
 Rejection: on labelled documents kept out of the gradient steps, the temperature is fitted and the
@@ -174,10 +174,17 @@ def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, sample: int = SAMPLE_DOCS) -> Model:
-    """Fit on ``sample`` labelled rows, chosen by a hash of doc_id and text; at most so many rows meet in the task that fits."""
-    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~fold()).select("text", F.col("lang").cast("string").alias("lang"), "doc_id")
-    chosen = labelled.orderBy(F.xxhash64("doc_id", "text"), "doc_id", "lang").limit(sample).select("text", "lang")
-    found = chosen.coalesce(1).mapInArrow(_fitted, "model binary").first()
+    """Fit on about ``sample`` labelled texts, chosen by a hash of doc_id and text; no more rows meet in the task that fits.
+
+    The share of hashes that gives a few more rows is taken first, each document once, so tasks send
+    on a sample of their rows and not as many as the whole sample has.
+    """
+    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~fold())
+    part = min(1.0, 1.2 * sample / max(1, labelled.count()))
+    hashed = labelled.select("text", F.col("lang").cast("string").alias("lang"), F.xxhash64("doc_id", "text").alias("_hash"))
+    some = hashed.where(F.pmod("_hash", F.lit(1 << 30)) < int(part * (1 << 30)))
+    chosen = some.groupBy("_hash").agg(F.min("lang").alias("lang"), F.first("text").alias("text")).orderBy("_hash").limit(sample)
+    found = chosen.select("text", "lang").coalesce(1).mapInArrow(_fitted, "model binary").first()
     return pickle.loads(found.model) if found else Model([], np.zeros((0, 1), np.float32), np.zeros(0))
 
 
