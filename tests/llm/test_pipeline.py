@@ -33,3 +33,20 @@ def test_stages_on_the_test_table(spark):
     whole = corpus_pipeline.run(spark, SF)
     pick = lambda df: sorted(tuple(r) for r in df.select("doc_id", "size", "text_crc32", "law").collect())
     assert pick(whole) == pick(placed)
+
+
+def test_edge_rows_and_an_empty_table(spark, edge_docs, no_docs):
+    docs = edge_docs
+    for name, step in corpus_pipeline.STAGES:
+        docs = stage(step(spark, docs, SF), f"edge-{name}")
+        if name != "sharding":
+            assert docs.columns == edge_docs.columns
+        if name == "language_id":
+            assert not {2, 3, 4, 6} & {r.doc_id for r in docs.collect()}
+        if name == "near_dedup":
+            left = Counter(r.doc_id for r in docs.collect())
+            assert left[7] == 1 and 8 not in left and left[10] <= 2 and left[1] == 1
+    assert all(r.size > 1 for r in docs.collect())
+    for name, step in corpus_pipeline.STAGES:
+        no_docs = stage(step(spark, no_docs, SF), f"none-{name}")
+        assert no_docs.count() == 0
