@@ -3,7 +3,11 @@
 Each stage reads what the one before has written. Documents whose language is rejected go, one
 document of each group of near copies stays, documents with benchmark windows go, sources are mixed
 to their target weights (a document that the mix takes twice is there twice), and what is left is
-placed in shards. All stages but the last return the columns of ``documents``.
+placed in shards. All stages but the last return the columns of ``documents``, others included.
+
+Defined cases: rows with a null or letterless text go in the first stage, having no language; rows
+with a null doc_id, source or lang are rows like any other; of repeated rows, as of any group of
+copies, one stays; an empty table stays empty; without a benchmark nothing is contaminated.
 """
 
 from __future__ import annotations
