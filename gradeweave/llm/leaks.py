@@ -4,8 +4,10 @@ A shard is one batch of documents inside a task. Of its words the index holds th
 which every pair of neighbours also stands in the benchmark: no phrase can occur anywhere else.
 Phrases are searched by wavelet ranks, located by sampled suffix positions, and merged into spans.
 
-The benchmark comes to the driver in slices of at most ``SLICE_BYTES`` of text (or one item), which
-are broadcast one after the other; each slice adds its spans to those found so far.
+The benchmark comes to the driver in slices of about ``SLICE_BYTES`` of text (or one item). A benchmark of
+one slice is one pass over the documents. With more, documents are stored with a row number and read
+once per slice; the rows that a slice hits are written before its broadcast is destroyed and the next
+one is made, so a single slice is in memory at any time. Spans of all slices are merged at the end.
 
 Defined cases: null texts have no words; items without words have no windows; a null item_id
 counts as the empty string, and an id given twice counts once; equal documents get equal rows;
@@ -16,14 +18,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gradeweave.llm.fmindex import FMIndex
 from gradeweave.llm.textnum import LOWER, blocks, mix64, range_hashes, runs, utf8
+from gradeweave.sources.shared import stage
 
 WINDOW = 10
 SLICE_BYTES = 4 << 20
@@ -148,32 +152,63 @@ def _spans(n: int, at: np.ndarray, widths: np.ndarray) -> tuple[np.ndarray, np.n
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
-def _slices(benchmark: DataFrame) -> list[Phrases]:
+def _slices(benchmark: DataFrame) -> tuple[int, Iterator[Phrases]]:
+    """How many slices there are, and the slices one by one."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("id"), "text")
-    total = items.agg(F.coalesce(F.sum(F.octet_length("text") + F.octet_length("id")), F.lit(0))).first()[0]
+    total = items.agg(F.coalesce(F.sum(F.octet_length(F.coalesce("text", F.lit(""))) + F.octet_length("id")), F.lit(0))).first()[0]
     n = max(1, -(-2 * total // SLICE_BYTES)) if total > SLICE_BYTES else 1
-    for k in range(n):  # one slice at a time is in the driver
-        part = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k).toArrow() if n > 1 else items.toArrow()
-        yield Phrases.of(part.column("id").to_pylist(), part.column("text").combine_chunks())
 
+    def read() -> Iterator[Phrases]:
+        for k in range(n):  # one slice at a time is in the driver
+            part = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k).toArrow() if n > 1 else items.toArrow()
+            yield Phrases.of(part.column("id").to_pylist(), part.column("text").combine_chunks())
 
-def found(docs: DataFrame, benchmark: DataFrame, text: Column) -> DataFrame:
+    return n, read()
+
+
+def found(docs: DataFrame, benchmark: DataFrame, text: str) -> DataFrame:
     """``docs`` with n_words, the merged word spans that are hit, and the items that occur (as lists).
 
     Columns of ``docs`` go through as they are, named _0, _1, ...
     """
     kept = docs.columns
-    held = docs.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(kept)], text.alias("_text"))
+    held = docs.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(kept)])
     fields = ", ".join(f"_{i} {held.schema[i].dataType.simpleString()}" for i in range(len(kept)))
-    empty = F.array().cast("array<bigint>")
-    held = held.withColumns({"n_words": F.lit(0).cast("bigint"), "span_starts": empty, "span_ends": empty, "items": F.array().cast("array<string>")})
+    text = F.col(f"_{kept.index(text)}").alias("_text")
     context = docs.sparkSession.sparkContext
-    for phrases in _slices(benchmark):
-        held = held.mapInArrow(_adder(context.broadcast(phrases), len(kept)), f"{fields}{', ' if kept else ''}_text string, {FOUND}")
-    return held.drop("_text")
-
+    n, slices = _slices(benchmark)
+    if n == 1:
+        return held.select("*", text).mapInArrow(_finder(context.broadcast(next(slices)), len(kept)), f"{fields}, {FOUND}")
+    held = stage(held.withColumn("_rid", F.monotonically_increasing_id()), "leaks-documents")
+    hits = []
+    for phrases in slices:
+        shared = context.broadcast(phrases)
+        # the first slice gives the words of all rows, the others only rows that they hit
+        hit = held.select("_rid", text).mapInArrow(_finder(shared, 1, only_hits=bool(hits)), f"_rid bigint, {FOUND}")
+        hits.append(stage(hit, "leaks-hits"))
+        shared.destroy()
+    lists = [c.split()[0] for c in FOUND.split(", ")[1:]]
+    together = reduce(DataFrame.unionByName, hits).groupBy("_rid").agg(
+        F.max("n_words").alias("n_words"), *[F.flatten(F.collect_list(c)).alias(c) for c in lists])
+    return held.join(together.mapInArrow(_merged, f"_rid bigint, {FOUND}"), "_rid").drop("_rid")
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with the spans and items of several slices, each list merged."""
+    for batch in batches:
+        rid, n_words, begins, ends, items = batch.columns
+        spans = []
+        for n, a, b in zip(n_words.to_pylist(), begins.to_pylist(), ends.to_pylist()):
+            at = np.array(a, np.int64)
+            spans.append([x.tolist() for x in _spans(n, at, np.array(b, np.int64) - at)])
+        yield pa.RecordBatch.from_arrays(
+            [rid, n_words, *[pa.array([x[i] for x in spans], pa.list_(pa.int64())) for i in range(2)],
+             pa.array([sorted(set(x)) for x in items.to_pylist()], pa.list_(pa.string()))], names=batch.schema.names)
+
+
+def _finder(shared, n_kept: int, only_hits: bool = False):
+    """The first ``n_kept`` columns, and what one slice finds in the rows' texts."""
 
-def _adder(shared, n_kept: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = shared.value
         for batch in batches:
@@ -184,22 +219,18 @@ def _adder(shared, n_kept: int):
             counts = np.concatenate([np.diff(f) for _, f in parts])
             first_word = np.concatenate([[0], np.cumsum(counts)])
             at, widths, owner, item = phrases.occurrences(words, first_word)
-            old = {c: batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("span_starts", "span_ends", "items")}
-            for d, (a, b) in enumerate(zip(old["span_starts"], old["span_ends"])):
-                if a:
-                    at = np.concatenate([at, first_word[d] + np.array(a)])
-                    widths = np.concatenate([widths, np.array(b) - np.array(a)])
             starts, ends = _spans_by_document(len(words), at, widths, first_word)
             mine: dict[int, set[str]] = {}
             for d, i in zip(owner.tolist(), item.tolist()):
                 mine.setdefault(d, set()).add(phrases.ids[i])
-            items = [sorted(mine[d] | set(old["items"][d])) if d in mine else old["items"][d] for d in range(len(batch))]
+            items = [sorted(mine.get(d, ())) for d in range(len(batch))]
             cut = np.searchsorted(starts, first_word)
             lists = [[(x[a:b] - w).tolist() for a, b, w in zip(cut, cut[1:], first_word)] for x in (starts, ends)]
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(i) for i in range(n_kept + 1)], pa.array(counts.astype(np.int64)), *[pa.array(x, pa.list_(pa.int64())) for x in lists],
+            out = pa.RecordBatch.from_arrays(
+                [*[batch.column(i) for i in range(n_kept)], pa.array(counts.astype(np.int64)), *[pa.array(x, pa.list_(pa.int64())) for x in lists],
                  pa.array(items, pa.list_(pa.string()))],
-                names=[*batch.schema.names[: n_kept + 1], "n_words", "span_starts", "span_ends", "items"])
+                names=[*batch.schema.names[:n_kept], "n_words", "span_starts", "span_ends", "items"])
+            yield out.filter(pa.array(np.diff(cut) > 0)) if only_hits else out
 
     return run
 
@@ -216,7 +247,7 @@ def _spans_by_document(n: int, at: np.ndarray, widths: np.ndarray, first_word: n
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
-    hits = found(docs.select("doc_id", "text"), benchmark, F.col("text"))
+    hits = found(docs.select("doc_id", "text"), benchmark, "text")
     n_hit = F.aggregate(F.zip_with("span_ends", "span_starts", lambda b, a: b - a), F.lit(0).cast("bigint"), lambda s, x: s + x)
     return hits.select(
         F.col("_0").alias("doc_id"), "n_words", n_hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
@@ -225,7 +256,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` in which no benchmark window occurs."""
-    return found(docs, benchmark, F.col("text")).where(F.size("span_starts") == 0).drop("n_words", "span_starts", "span_ends", "items").toDF(*docs.columns)
+    return found(docs, benchmark, "text").where(F.size("span_starts") == 0).drop("n_words", "span_starts", "span_ends", "items").toDF(*docs.columns)
 
 
 SQL = r"""

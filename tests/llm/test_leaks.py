@@ -62,6 +62,30 @@ def test_edge_rows(spark, edge_docs, edge_rows, no_docs):
     assert leaks.contamination(no_docs, items).collect() == []
 
 
+def test_one_slice_at_a_time(spark, monkeypatch):
+    """A slice's rows are written and its broadcast destroyed before the next one is made."""
+    monkeypatch.setattr(leaks, "SLICE_BYTES", 40)
+    alive, most, log = set(), [], []
+    context, real = type(spark.sparkContext), leaks.stage
+
+    def broadcast(self, value, plain=context.broadcast):
+        made = plain(self, value)
+        if isinstance(value, leaks.Phrases):
+            alive.add(id(made))
+            most.append(len(alive))
+            end = made.destroy
+            made.destroy = lambda *a, **k: (alive.discard(id(made)), log.append("destroy"), end(*a, **k))
+        return made
+
+    monkeypatch.setattr(context, "broadcast", broadcast)
+    monkeypatch.setattr(leaks, "stage", lambda df, label: (real(df, label), log.append(label))[0])
+    docs, items = spark.createDataFrame(DOCS, "doc_id long, text string"), spark.createDataFrame(ITEMS, "item_id long, text string")
+    got = sorted((tuple(r) for r in leaks.contamination(docs, items).collect()), key=str)
+    assert got == plain(DOCS, ITEMS)
+    assert len(most) > 2 and set(most) == {1} and not alive
+    assert log == ["leaks-documents", *["leaks-hits", "destroy"] * len(most)]
+
+
 def test_index_finds_all_places():
     rng = np.random.default_rng(3)
     for n in (1, 2, 30, 400):
