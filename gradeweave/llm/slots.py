@@ -3,7 +3,13 @@
 A record's slot is a hash of its doc_id, one of ``SLOTS`` for ever. Only the map from slots to
 shards changes: it is made from bytes per slot, and rebalancing edits as few of its rows as it
 can and gives them a new version. A slot that holds far more than its part (one doc_id with very
-many rows) is cut into ``LANES`` lanes, which the map places one by one.
+many rows) is cut into ``LANES`` lanes, which the map places one by one; once cut, it stays cut. A
+record's lane comes from its doc_id, its text and its number among its copies, so a rerun that
+splits files in another way puts the same records into the same shards.
+
+The map is a stored table (``MAP_SCHEMA``), one ``as_of`` per version; a row's ``version`` is the one
+that placed it last. With the path of a map, ``shard`` reads its last version, edits it for the sizes
+of today and appends a version if anything changed; without one, it stores a map of its own.
 
 Law of the query: ``bytes``. Shards differ by about one small slot.
 
@@ -15,12 +21,15 @@ other columns are ignored.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
+
+from uuid import uuid4
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gradeweave.sources.shared import stage
+from gradeweave.sources.shared import shared_dir, stage
 
 SLOTS, LANES = 4096, 64
 #: A slot is cut into lanes if it holds more than this part of a shard's even share.
@@ -35,19 +44,38 @@ def _record() -> dict[str, Column]:
         "size": (F.octet_length(text) + 1).cast("bigint"),
         "text_crc32": F.crc32(text),
         "vslot": F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)).cast("int"),
+        "same": F.xxhash64("doc_id", text),
     }
 
 
-def unit_bytes(records: DataFrame, shards: int) -> dict[Unit, int]:
-    """Bytes per slot, and per lane of the hot ones: at most SLOTS sums, and LANES for each of shards / HOT_PART slots."""
-    sums = {r.vslot: r.bytes for r in records.groupBy("vslot").agg(F.sum("size").alias("bytes")).collect()}
-    hot = [v for v, b in sums.items() if b * shards > sum(sums.values()) * HOT_PART]
-    lanes = records.where(F.col("vslot").isin(hot)).groupBy("vslot", _lane().alias("lane")).agg(F.sum("size").alias("bytes")).collect() if hot else []
-    return {(v, -1): b for v, b in sums.items() if v not in hot} | {(r.vslot, r.lane): r.bytes for r in lanes}
+def hot_slots(found: DataFrame, shards: int, cut: Collection[int] = ()) -> list[int]:
+    """Slots to be cut into lanes: those above their part, and those that the map has cut before. The driver sees SLOTS sums."""
+    sums = {r.vslot: r.bytes for r in found.groupBy("vslot").agg(F.sum("size").alias("bytes")).collect()}
+    return sorted({v for v, b in sums.items() if b * shards > sum(sums.values()) * HOT_PART} | set(cut))
+
+
+def in_lanes(found: DataFrame, hot: list[int]) -> DataFrame:
+    """``found`` with ``lane``: -1, or in hot slots a hash of doc_id and text plus the number among equal records.
+
+    Equal records are told apart by nothing but that number, so it may follow the stored order. It is
+    counted in blocks of the stored records and over blocks: a record with very many copies is in no one task.
+    """
+    if not hot:
+        return found.withColumn("lane", F.lit(-1))
+    part = found.where(F.col("vslot").isin(hot)).withColumn("_block", F.shiftright("rid", 16))
+    counts = part.groupBy("same", "_block").agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy("same").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("same", "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    inside = F.row_number().over(Window.partitionBy("same", "_block").orderBy("rid")) - 1
+    numbered = part.withColumn("_inside", inside).join(starts, ["same", "_block"])
+    lane = F.pmod(F.pmod("same", F.lit(LANES)) + F.col("_start") + F.col("_inside"), F.lit(LANES)).cast("int")
+    lanes = stage(numbered.withColumn("lane", lane).select(*found.columns, "lane"), "shard-lanes")
+    return found.where(~F.col("vslot").isin(hot)).withColumn("lane", F.lit(-1)).unionByName(lanes)
 
 
-def _lane() -> Column:
-    return F.pmod(F.xxhash64("rid"), F.lit(LANES)).cast("int")
+def unit_bytes(units: DataFrame) -> dict[Unit, int]:
+    """Bytes per slot, and per lane of the hot ones: at most SLOTS sums, and LANES for each hot slot."""
+    return {(r.vslot, r.lane): r.bytes for r in units.groupBy("vslot", "lane").agg(F.sum("size").alias("bytes")).collect()}
 
 
 def first_map(sizes: Mapping[Unit, int], shards: int) -> dict[Unit, int]:
@@ -98,19 +126,17 @@ def map_rows(placed: Mapping[Unit, int], version: int, previous: DataFrame | Non
 
 
 def records(docs: DataFrame) -> DataFrame:
-    """doc_id, size, text_crc32, vslot, and rid: a number of the row that is stored with it."""
+    """doc_id, size, text_crc32, vslot, same (a hash of doc_id and text), and rid: a number of the row that is stored with it."""
     numbered = docs.select("doc_id", "text").withColumns(_record()).drop("text").withColumn("rid", F.monotonically_increasing_id())
     return stage(numbered, "shard-records")
 
 
-def placed_records(found: DataFrame, slot_map: DataFrame) -> DataFrame:
+def placed_records(units: DataFrame, slot_map: DataFrame) -> DataFrame:
     """Records with ``shard`` and ``slot``, their place in it, gapless from 0.
 
     Places are counted in two steps, in blocks of the stored records and over blocks, so no
     shard is numbered by one task. The map has SLOTS rows and LANES for each hot slot: broadcast.
     """
-    cut = F.broadcast(slot_map.where("lane >= 0").select("vslot").distinct().withColumn("_cut", F.lit(True)))
-    units = found.join(cut, "vslot", "left").withColumn("lane", F.when(F.col("_cut"), _lane()).otherwise(F.lit(-1))).drop("_cut")
     sharded = units.join(F.broadcast(slot_map), ["vslot", "lane"]).withColumn("_block", F.shiftright("rid", 16))
     counts = sharded.groupBy("shard", "_block").agg(F.count("*").alias("_n"))
     earlier = Window.partitionBy("shard").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
@@ -122,10 +148,42 @@ def placed_records(found: DataFrame, slot_map: DataFrame) -> DataFrame:
     )
 
 
-def shard(docs: DataFrame, shards: int = 8) -> DataFrame:
-    """All documents in ``shards`` shards of near equal bytes."""
-    found = records(docs)
-    slot_map = map_rows(first_map(unit_bytes(found, shards), shards), 1, spark=docs.sparkSession)
-    return placed_records(found, slot_map).select(
+def stored_map(spark: SparkSession, path: str) -> DataFrame | None:
+    """The last version of the map at ``path``; None if there is none yet."""
+    try:
+        versions = spark.read.schema(f"{MAP_SCHEMA}, as_of int").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    last = versions.agg(F.max("as_of")).first()[0]
+    return None if last is None else versions.where(F.col("as_of") == last)
+
+
+def edited_map(units: DataFrame, shards: int, path: str, known: DataFrame | None) -> DataFrame:
+    """The map at ``path`` made or edited for ``units``; a version is appended only if a row changed."""
+    sizes, spark = unit_bytes(units), units.sparkSession
+    if known is None:
+        rows = map_rows(first_map(sizes, shards), 1, spark=spark).withColumn("as_of", F.lit(1))
+    else:
+        old = {(r.vslot, r.lane): r.shard for r in known.collect()}
+        # lanes without a record today keep their place, so they can be found again
+        new = {u: s for u, s in old.items() if s < shards} | rebalanced(old, sizes, shards)
+        if new == old:
+            return known.drop("as_of")
+        as_of = known.first().as_of + 1
+        rows = map_rows(new, as_of, known).withColumn("as_of", F.lit(as_of))
+    rows.coalesce(1).write.mode("append").partitionBy("as_of").parquet(path)
+    return stored_map(spark, path).drop("as_of")
+
+
+def shard(docs: DataFrame, shards: int = 8, map_path: str | None = None) -> DataFrame:
+    """All documents in ``shards`` shards of near equal bytes, by the map at ``map_path``, which is made or edited."""
+    spark = docs.sparkSession
+    path = map_path or f"{shared_dir(spark).rstrip('/')}/gradeweave/slot-map-{uuid4().hex}"
+    known, found = stored_map(spark, path) if map_path else None, records(docs)
+    cut = [r.vslot for r in known.where("lane >= 0").select("vslot").distinct().collect()] if known is not None else []
+    units = in_lanes(found, hot_slots(found, shards, cut))
+    return placed_records(units, edited_map(units, shards, path, known)).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "vslot", F.col("version").alias("map_version"))

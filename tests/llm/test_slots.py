@@ -2,7 +2,7 @@
 
 import zlib
 
-import pytest
+from pyspark.sql import functions as F
 
 from gradeweave.llm import slots
 
@@ -50,3 +50,45 @@ def test_rebalancing_moves_little_and_versions_it(spark):
     assert {u for u, (_, v) in second.items() if v == 2} == set(moved)
     grown = slots.rebalanced(old, {u: s * (3 if old[u] == 0 else 1) for u, s in sizes.items()}, 8)
     assert {old[u] for u in sizes if old[u] != grown[u]} == {0}
+
+
+def test_other_splits_give_equal_shards(spark):
+    rows = [(i, "t" * (i * 37 % 900)) for i in range(1500)] + [(1, "hot " * 50)] * 800 + [(1, f"under the same id {i % 300} " * 9) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ways = [docs.coalesce(1), docs.repartition(7), docs.orderBy(F.desc("text")).repartition(3, "doc_id")]
+    got = [sorted((r.doc_id, r.text_crc32, r.vslot, r.shard) for r in slots.shard(d).collect()) for d in ways]
+    assert got[0] == got[1] == got[2]
+    copies = [k for i, c, _, k in got[0] if (i, c) == (1, zlib.crc32(b"hot " * 50))]
+    assert len(set(copies)) > 4  # a record with very many copies is in many shards
+
+
+def test_stored_map_is_edited(spark, tmp_path):
+    path = str(tmp_path / "map")
+    rows = [(i, "t" * (500 + i * 37 % 400)) for i in range(2500)]
+    docs = lambda rs: spark.createDataFrame(rs, "doc_id long, text string")
+    places = lambda got: sorted((r.doc_id, r.text_crc32, r.shard) for r in got)
+    versions = lambda: [r.as_of for r in spark.read.parquet(path).select("as_of").distinct().orderBy("as_of").collect()]
+    first = slots.shard(docs(rows), map_path=path).collect()
+    check(first, rows)
+    assert {r.map_version for r in first} == {1} and versions() == [1]
+    again = slots.shard(docs(rows).repartition(5), map_path=path).collect()
+    assert places(again) == places(first) and versions() == [1]  # nothing to edit
+    hot = rows + [(3, "hot " * 200)] * 1500
+    grown = slots.shard(docs(hot), map_path=path).collect()
+    sums = check(grown, hot)
+    assert max(sums) / min(sums) < 1.1 and versions() == [1, 2]
+    was = {r.doc_id: r.shard for r in first}
+    stayed = [r for r in grown if r.doc_id != 3]
+    moved = [r for r in stayed if r.shard != was[r.doc_id]]
+    assert len(moved) < len(stayed) / 5 and all(r.map_version == 2 for r in moved)
+    nine = slots.shard(docs(hot), 9, path).collect()
+    sums = check(nine, hot, 9)
+    assert max(sums) / min(sums) < 1.1 and versions() == [1, 2, 3]
+    before = {(r.doc_id, r.shard): r.map_version for r in grown}
+    assert all(r.map_version == 3 if r.shard == 8 else (r.doc_id, r.shard) in before for r in nine)
+    less = slots.shard(docs(rows), 9, path).collect()  # a slot once cut stays cut
+    assert check(less, rows, 9) and {r.shard for r in less} == set(range(9))
+
+
+def test_no_map_yet(spark, tmp_path):
+    assert slots.stored_map(spark, str(tmp_path / "none")) is None
