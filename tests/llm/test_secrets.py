@@ -2,11 +2,14 @@
 
 import hashlib
 import re
+from collections import Counter
+from pathlib import Path
 
 import numpy as np
 
 from gradeweave.llm import secrets
 from gradeweave.llm.automata import Automaton
+from gradeweave.sources.shared import shared_dir
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 
@@ -82,3 +85,20 @@ def test_few_ordinary_strings_are_enough(spark):
     rows = [(i, f"token={key()} {pick('aeioulnrst', 14)}" if i < 20 else f"token={key()}") for i in range(60)]
     formats = secrets.learn(spark.createDataFrame(rows, "doc_id long, text string"))
     assert formats is not None
+
+
+def test_no_credential_is_written(spark):
+    """Learning leaves no table behind, and a task passes on only the least hashes of each kind."""
+    rows = [(i, f"token=abcd{i:06d}efgh plainordinary{i % 70:04d} AKIAZ{i:07d}Z{i:07d} {i:024x}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(folder.rglob("*"))
+    assert secrets.learn(docs, 20) is not None
+    assert set(folder.rglob("*")) == before
+    passed = docs.select("text").coalesce(1).mapInArrow(secrets._examples(20), "kind int, value binary, hash bigint").collect()
+    assert Counter(r.kind for r in passed) == {0: 20, 1: 20, 2: 20, 3: 20}
+    every = docs.select("text").coalesce(1).mapInArrow(secrets._examples(1000), "kind int, value binary, hash bigint").collect()
+    assert Counter(r.kind for r in every) == {0: 300, 1: 300, 2: 300, 3: 70}
+    for kind in range(4):
+        least = sorted(r.hash for r in every if r.kind == kind)[:20]
+        assert sorted(r.hash for r in passed if r.kind == kind) == least
