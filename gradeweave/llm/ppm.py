@@ -6,11 +6,16 @@ out is excluded from the shorter ones. Every symbol seen after a context was als
 ending, so what a context excludes below it can be summed when the trie is built, and scoring is
 one look-up per byte, plus one per escape. A text ends with a symbol of its own.
 
-What tasks count are strings of ORDER + 1 bytes; shorter contexts are sums of those. The trie is
-broadcast in parts of at most ``MAX_ENTRIES`` strings (or those of one pair of context bytes), by
-the last two bytes of the context: each part scores the positions that belong to it, and the
-parts' scores add up. Each part has a pass of its own over the stored texts, whose scores are
-written before the next part is made, so driver and workers hold one part at a time. Orders 0 and 1 are tables of fixed size that all parts have.
+What tasks count are strings of ORDER + 1 bytes, a stored table with a row per different string. The
+trie itself is never whole in one place. A string that was seen in training is answered by its own
+context, at most 255 rows next to each other. The most frequent strings (``HEAD_STRINGS`` at most)
+and their logarithms go to the tasks, which read each text once, add up what the head answers, and
+pass on the other strings; those are joined by string. Strings never seen in training need the
+escapes: each different one is scored once, in parts of the trie by the last two bytes of the
+context, which hold all shorter contexts but those of orders 0 and 1 (tables of fixed size). A part
+has at most ``MAX_ENTRIES`` strings or those of one pair of bytes, of which there are never more
+than 2 ** 24. What is passed on grows with the share of the text outside the head: a corpus in
+scripts the training documents do not have sends a row for each of its bytes.
 
 ``base_score`` is an add-one unigram model of words. Counts of the most frequent words
 (``HEAD_WORDS`` at most) go to the tasks; all others are joined by word.
@@ -27,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeweave.llm.textnum import IS_WHITE, LOWER, blocks, range_hashes, runs
@@ -35,7 +40,8 @@ from gradeweave.sources.shared import stage
 
 ORDER = 4
 START, END, SYMBOLS = 0xFE, 0xFF, 255  # neither byte occurs in UTF-8; START is never a symbol
-MAX_ENTRIES = 2_000_000
+MAX_ENTRIES = 250_000
+HEAD_STRINGS = 1 << 20
 HEAD_WORDS = 1 << 18
 END_TOKEN = np.uint64(0x5DEECE66D1234567)
 GRAM, TOKEN = 0, 1
@@ -164,9 +170,6 @@ class Trie:
             parent = total, many
         self._index = None
 
-    def __getstate__(self):
-        return self.__dict__ | {"_index": None}
-
     def _find(self, j: int, context: bool, keys: np.ndarray) -> np.ndarray:
         if self._index is None:
             self._index = {(i, c): pd.Index(x[i]) for i in self.keys for c, x in ((False, self.keys), (True, self.contexts))}
@@ -233,145 +236,146 @@ def _below(total: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.log10(np.where(kinds > 0, kinds / whole, 1.0)), np.log10(whole)
 
 
-def _groups(pairs: list) -> list[np.ndarray]:
-    """Masks of the pairs of last context bytes that each part answers for; every pair is in one of them."""
-    groups, size = [[]], 0
+def _groups(pairs: list) -> np.ndarray:
+    """For each pair of last context bytes, the part that answers for it."""
+    part_of, part, size = np.zeros(65536, np.int32), 0, 0
     for pair, n in pairs:
-        if size + n > MAX_ENTRIES and groups[-1]:
-            groups.append([])
-            size = 0
-        groups[-1].append(pair)
+        if size + n > MAX_ENTRIES and size:
+            part, size = part + 1, 0
+        part_of[pair] = part
         size += n
-    masks = np.zeros((len(groups), 65536), bool)
-    for mask, group in zip(masks, groups):
-        mask[group] = True
-    masks[-1] |= ~masks.any(0)  # pairs that were never seen go with the last one
-    return list(masks)
+    return part_of
+
+
+def _pair() -> Column:
+    """The last two bytes of the context of a string."""
+    return F.shiftright("key", 8) % 65536
+
+
+def _heads(table: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
+    """The most frequent rows by n, at most ``limit``, and all others; rows of about one frequency go together."""
+    level = F.floor(F.log2(F.col("n")) * 8).cast("int")  # 8 a doubling
+    steps = sorted((r.level, r.k) for r in table.groupBy(level.alias("level")).agg(F.count("*").alias("k")).collect())
+    many, least = 0, 1 << 30
+    while steps and many + steps[-1][1] <= limit:
+        least, k = steps.pop()
+        many += k
+    return table.where(level >= least), table.where(level < least)
 
 
 class Model:
-    """Counts gathered from training documents: strings and words, as stored tables."""
+    """What was gathered from training documents, as stored tables: ``strings`` (key, n, log) and ``words`` (key, n).
+
+    ``log`` is log10 of the probability of a string's last byte after the others, by method C.
+    """
 
     def __init__(self, training: DataFrame):
         counts = training.select("text").mapInArrow(_count, "kind int, key bigint, n bigint").groupBy("kind", "key").agg(F.sum("n").alias("n"))
         stored = stage(counts, "ppm-counts")
-        self.grams, self.words = (stored.where(F.col("kind") == k).select("key", "n") for k in (GRAM, TOKEN))
+        grams, self.words = (stored.where(F.col("kind") == k).select("key", "n") for k in (GRAM, TOKEN))
+        context = Window.partitionBy(F.shiftright("key", 8))  # 255 rows at most
+        whole = F.sum("n").over(context) + F.count("*").over(context)
+        self.strings = stage(grams.select("key", "n", (F.log10("n") - F.log10(whole)).alias("log")), "ppm-strings")
         size = self.words.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
         self.kinds, self.total = size[0], size[1]
-        level = F.floor(F.log2(F.col("n")) * 8).cast("int")
-        steps = sorted((r.level, r.k) for r in self.words.groupBy(level.alias("level")).agg(F.count("*").alias("k")).collect())  # 8 a doubling
-        many, self.head_level = 0, 1 << 30
-        while steps and many + steps[-1][1] <= HEAD_WORDS:
-            self.head_level, k = steps.pop()
-            many += k
-        self._level = level
-
-    def head(self) -> tuple[np.ndarray, np.ndarray]:
-        """The most frequent words, HEAD_WORDS at most, and their counts."""
-        table = self.words.where(self._level >= self.head_level).toArrow()
-        return table.column("key").to_numpy().astype(np.uint64), table.column("n").to_numpy()
-
-    def tail(self) -> DataFrame:
-        return self.words.where(self._level < self.head_level)
-
-    def parts(self) -> list[np.ndarray]:
-        pair = (F.shiftright("key", 8) % 65536).alias("pair")
-        return _groups(sorted((r.pair, r.n) for r in self.grams.groupBy(pair).agg(F.count("*").alias("n")).collect()))  # 65,536 at most
 
     def low(self) -> np.ndarray:
         """Counts by last byte and symbol, of all strings."""
         found = np.zeros((256, 256), np.int64)
-        for r in self.grams.groupBy((F.col("key") % 65536).alias("pair")).agg(F.sum("n").alias("n")).collect():  # 65,536 at most
+        for r in self.strings.groupBy((F.col("key") % 65536).alias("pair")).agg(F.sum("n").alias("n")).collect():  # 65,536 at most
             found[r.pair >> 8, r.pair & 255] += r.n
         return found
 
-    def trie(self, mask: np.ndarray, low: np.ndarray) -> Trie:
-        """The part that answers for these pairs of last context bytes."""
-        pair = F.shiftright("key", 8) % 65536
-        table = (self.grams if mask.all() else self.grams.where(pair.isin(np.flatnonzero(mask).tolist()))).toArrow()
-        keys, counts = table.column("key").to_numpy().astype(np.uint64), table.column("n").to_numpy()
-        order = np.argsort(keys)
-        return Trie(keys[order], counts[order], low)
+    def escaped(self, unseen: DataFrame) -> DataFrame:
+        """key and log of different strings that were never seen in training."""
+        spark = unseen.sparkSession
+        sizes = self.strings.select("key").unionByName(unseen).groupBy(_pair().alias("pair")).agg(F.count("*").alias("n"))
+        part_of = _groups(sorted((r.pair, r.n) for r in sizes.collect()))  # 65,536 at most
+        parts = F.broadcast(spark.createDataFrame(pd.DataFrame({"pair": np.arange(65536), "part": part_of})))
+        known, asked = (t.withColumn("pair", _pair()).join(parts, "pair").select(*t.columns, F.col("part").alias("part"))
+                        for t in (self.strings.drop("log"), unseen))
+        low = spark.sparkContext.broadcast(self.low())
+        logs = known.groupBy("part").cogroup(asked.groupBy("part")).applyInArrow(_escapes(low), "key bigint, log double")
+        done = stage(logs, "ppm-unseen")
+        low.destroy()
+        return done
+
+
+def _escapes(low):
+    def run(known: pa.Table, asked: pa.Table) -> pa.Table:
+        found = np.zeros(0)
+        if len(asked):
+            keys, counts = known.column("key").to_numpy().astype(np.uint64), known.column("n").to_numpy()
+            order = np.argsort(keys)
+            found = Trie(keys[order], counts[order], low.value).log10(asked.column("key").to_numpy().astype(np.uint64))
+        return pa.table({"key": asked.column("key"), "log": pa.array(found, pa.float64())})
+
+    return run
+
 
+def _head(table: DataFrame, value: str) -> tuple[np.ndarray, np.ndarray]:
+    found = table.select("key", value).toArrow()
+    return found.column("key").to_numpy().astype(np.uint64), found.column(value).to_numpy()
 
-FIELDS = "n_tokens bigint, n_known bigint, known_log double, tail array<bigint>, score double"
 
+FIELDS = "n_tokens bigint, n_known bigint, known_log double, words array<bigint>, score double, strings array<bigint>"
+
+
+def _score(heads, kept: int):
+    """Sums over what the head has, and the words and strings of each text that it has not."""
 
-def _first_pass(head, trie, kept: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (words, counts), (mask, model) = head.value, trie.value
-        index, logs = pd.Index(words), np.log10(counts + 1.0)
+        (words, counts), (strings_, logs) = heads.value
+        word_index, word_logs, string_index = pd.Index(words), np.log10(counts + 1.0), pd.Index(strings_)
         for batch, data, offsets in blocks(batches):
             n = len(batch)
             found, first_word = tokens(data, offsets)
             many = np.diff(first_word) + 1
-            owner = np.concatenate([np.repeat(np.arange(n), many - 1), np.arange(n)])
-            at = index.get_indexer(pd.Index(np.concatenate([found, np.full(n, END_TOKEN)])))
-            known = at >= 0
-            rest = found[~known[: len(found)]]
-            cut = np.concatenate([[0], np.cumsum(np.bincount(owner[: len(found)][~known[: len(found)]], minlength=n))])
-            if not known[len(found) :].all():  # the end itself is not among the most frequent
-                rest, cut = np.insert(rest, cut[1:], END_TOKEN), cut + np.arange(n + 1)
-            tail = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(rest.astype(np.int64)))
-            score = _scores(model, mask, data, offsets)
+            found = np.insert(found, first_word[1:], END_TOKEN)
+            known, known_log, words_left = _looked_up(found, np.concatenate([[0], np.cumsum(many)]), word_index, word_logs)
+            _, score, strings_left = _looked_up(*strings(data, offsets), string_index, logs)
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(i) for i in range(kept)], pa.array(many.astype(np.int64)), pa.array(np.bincount(owner[known], minlength=n).astype(np.int64)),
-                 pa.array(np.bincount(owner[known], logs[at[known]], n).astype(float)), tail, pa.array(score)],
-                names=[*batch.schema.names[:kept], "n_tokens", "n_known", "known_log", "tail", "score"])
-
-    return run
-
-
-def _next_pass(trie):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mask, model = trie.value
-        for batch, data, offsets in blocks(batches):
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_scores(model, mask, data, offsets))], names=["rid", "score"])
+                [*[batch.column(i) for i in range(kept)], pa.array(many.astype(np.int64)), pa.array(known), pa.array(known_log), words_left,
+                 pa.array(score), strings_left],
+                names=[*batch.schema.names[:kept], "n_tokens", "n_known", "known_log", "words", "score", "strings"])
 
     return run
 
 
-def _scores(model: Trie, mask: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    keys, starts = strings(data, offsets)
-    if mask.all():
-        logs = model.log10(keys)
-    else:
-        mine = np.flatnonzero(mask[((keys >> np.uint64(8)) & np.uint64(65535)).astype(np.int64)])
-        logs = np.zeros(len(keys))
-        logs[mine] = model.log10(keys[mine])
-    return np.add.reduceat(logs, starts[:-1]) if len(logs) else np.zeros(len(offsets) - 1)
+def _looked_up(keys: np.ndarray, starts: np.ndarray, index: pd.Index, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """For each row (keys from one start to the next, never none): keys in the index, the sum of their values, the other keys."""
+    at = index.get_indexer(pd.Index(keys))
+    known = at >= 0
+    value = np.zeros(len(keys))
+    value[known] = values[at[known]]
+    left = np.concatenate([[0], np.cumsum(~known)])[starts]
+    rows = starts[:-1]
+    if not len(rows):
+        return np.zeros(0, np.int64), np.zeros(0), pa.array([], pa.list_(pa.int64()))
+    return (np.add.reduceat(known.astype(np.int64), rows), np.add.reduceat(value, rows),
+            pa.ListArray.from_arrays(pa.array(left, pa.int32()), pa.array(keys[~known].astype(np.int64))))
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score and score (log10 probabilities) for every row."""
-    context = docs.sparkSession.sparkContext
     kind = docs.schema["doc_id"].dataType.simpleString()
+    (words, other_words), (common, _) = _heads(model.words, HEAD_WORDS), _heads(model.strings, HEAD_STRINGS)
+    heads = docs.sparkSession.sparkContext.broadcast((_head(words, "n"), _head(common, "log")))
     held = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text")
-    masks, low = model.parts(), model.low()
-    if len(masks) > 1:  # rows are read once for each part, and must keep their numbers
-        held = stage(held, "ppm-texts")
-    head = context.broadcast(model.head())
-    done = []
-    for mask in masks:
-        shared = context.broadcast((mask, model.trie(mask, low)))
-        if not done:
-            part = held.mapInArrow(_first_pass(head, shared, 3), f"rid bigint, doc_id {kind}, text string, {FIELDS}").drop("text")
-        else:
-            part = held.select("rid", "text").mapInArrow(_next_pass(shared), "rid bigint, score double")
-        done.append(stage(part, "ppm-scores"))
-        shared.destroy()
-    rows = done[0]
-    if len(done) > 1:
-        scores = done[0].select("rid", "score")
-        for part in done[1:]:
-            scores = scores.unionByName(part)
-        rows = rows.drop("score").join(scores.groupBy("rid").agg(F.sum("score").alias("score")), "rid")
-    rare = rows.select("rid", F.explode("tail").alias("key")).join(model.tail(), "key")
-    sums = rare.groupBy("rid").agg(F.count("*").alias("_known"), F.sum(F.log10(F.col("n") + 1)).alias("_log"))
+    rows = stage(held.mapInArrow(_score(heads, 3), f"rid bigint, doc_id {kind}, text string, {FIELDS}").drop("text"), "ppm-rows")
+    heads.destroy()
+    rare = rows.select("rid", F.explode("words").alias("key")).join(other_words, "key")
+    asked = rows.select("rid", F.explode("strings").alias("key"))
+    unseen = stage(asked.select("key").distinct().join(model.strings, "key", "left_anti"), "ppm-asked")
+    logs = model.strings.select("key", "log").unionByName(model.escaped(unseen))
+    sums = (rare.select("rid", F.lit(1).alias("known"), F.log10(F.col("n") + 1).alias("word"), F.lit(0.0).alias("string"))
+            .unionByName(asked.join(logs, "key").select("rid", F.lit(0).alias("known"), F.lit(0.0).alias("word"), F.col("log").alias("string")))
+            .groupBy("rid").agg(F.sum("known").alias("_known"), F.sum("word").alias("_word"), F.sum("string").alias("_string")))
     whole = np.log10(max(1, model.total + model.kinds + 1))
     return rows.join(sums, "rid", "left").select(
         "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("_known", F.lit(0))).alias("n_known"),
-        (F.col("known_log") + F.coalesce("_log", F.lit(0.0)) - F.col("n_tokens") * F.lit(float(whole))).alias("base_score"), "score")
+        (F.col("known_log") + F.coalesce("_word", F.lit(0.0)) - F.col("n_tokens") * F.lit(float(whole))).alias("base_score"),
+        (F.col("score") + F.coalesce("_string", F.lit(0.0))).alias("score"))
 
 
 def language_model_scores(docs: DataFrame) -> DataFrame:

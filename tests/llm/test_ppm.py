@@ -79,37 +79,58 @@ def test_scores_match_a_plain_trie(spark):
     check(spark, ROWS)
 
 
-def test_parts_of_the_trie_and_joined_words_change_nothing(spark, monkeypatch):
+def test_parts_of_the_trie_and_joined_keys_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(ppm, "MAX_ENTRIES", 60)
     monkeypatch.setattr(ppm, "HEAD_WORDS", 4)
+    monkeypatch.setattr(ppm, "HEAD_STRINGS", 30)
+    check(spark, ROWS)
+
+
+def test_without_a_head(spark, monkeypatch):
+    monkeypatch.setattr(ppm, "HEAD_WORDS", 0)
+    monkeypatch.setattr(ppm, "HEAD_STRINGS", 0)
     check(spark, ROWS[:16])
 
 
-def test_one_part_at_a_time(spark, monkeypatch):
-    """No stage has more than one worker step, and a part is gone before the next one is made."""
-    steps, alive, most = [], [], []
-    stage, trie, context = ppm.stage, ppm.Trie, type(spark.sparkContext)
-    broadcast = context.broadcast
+def test_edge_rows(spark, edge_docs, edge_rows, monkeypatch):
+    monkeypatch.setattr(ppm, "HEAD_STRINGS", 100)
+    got = sorted((r.doc_id is None, r.doc_id, r.n_tokens, round(r.score, 2)) for r in ppm.language_model_scores(edge_docs).collect() if r.doc_id is not None)
+    scores = plain_scores([r[1] for r in edge_rows if not held_out(r[0])], [r[1] for r in edge_rows])
+    want = sorted((False, r[0], len(WORD.findall(lower(r[1]))) + 1, s) for r, s in zip(edge_rows, scores) if r[0] is not None)
+    assert [g[:3] for g in got] == [w[:3] for w in want]
+    assert [g[3] for g in got] == pytest.approx([w[3] for w in want], rel=1e-5, abs=0.01)
 
-    def staged(df, *rest):
-        steps.append(df._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow"))
-        return stage(df, *rest)
+
+def test_what_the_driver_holds(spark, monkeypatch):
+    """Only heads are gathered, texts are read twice however many strings there are, and no broadcast is left."""
+    frame, context = type(spark.range(1)), type(spark.sparkContext)
+    to_arrow, broadcast = frame.toArrow, context.broadcast
+    gathered, alive, steps, stage = [], [], [], ppm.stage
+
+    def arrow(self):
+        gathered.append(to_arrow(self))
+        return gathered[-1]
 
     def shared(self, value):
         found = broadcast(self, value)
-        if any(isinstance(x, trie) for x in value):
-            alive.append(found)
-            destroy = found.destroy
-            found.destroy = lambda *a: (alive.remove(found), destroy(*a))
-            most.append(len(alive))
+        alive.append(found)
+        destroy = found.destroy
+        found.destroy = lambda *a: (alive.remove(found), destroy(*a))
         return found
 
-    monkeypatch.setattr(ppm, "MAX_ENTRIES", 80)
-    monkeypatch.setattr(ppm, "stage", staged)
+    def staged(df, *rest):
+        steps.append(df._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow"))
+        return stage(df, *rest)
+
+    monkeypatch.setattr(frame, "toArrow", arrow)
     monkeypatch.setattr(context, "broadcast", shared)
+    monkeypatch.setattr(ppm, "stage", staged)
+    monkeypatch.setattr(ppm, "MAX_ENTRIES", 80)
+    monkeypatch.setattr(ppm, "HEAD_STRINGS", 50)
     check(spark, ROWS[:16])
-    assert len(most) > 1 and max(most) == 1 and not alive
-    assert max(steps) == 1
+    assert gathered and max(map(len, gathered)) <= 50
+    assert not alive
+    assert sum(steps) == 2
 
 
 def test_nothing_to_learn_from(spark):
