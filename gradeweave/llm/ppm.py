@@ -40,7 +40,7 @@ from gradeweave.sources.shared import stage
 
 ORDER = 4
 START, END, SYMBOLS = 0xFE, 0xFF, 255  # neither byte occurs in UTF-8; START is never a symbol
-MAX_ENTRIES = 250_000
+MAX_ENTRIES = 1 << 15
 HEAD_STRINGS = 1 << 20
 HEAD_WORDS = 1 << 18
 END_TOKEN = np.uint64(0x5DEECE66D1234567)
