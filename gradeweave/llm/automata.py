@@ -9,7 +9,7 @@ compatible one that was kept before, or kept itself.
 from __future__ import annotations
 
 from collections import deque
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 
@@ -110,13 +110,30 @@ class Automaton:
 
     def scores(self, symbols: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Log likelihoods of strings given as one array: all move one symbol at a time."""
+        total, state = np.zeros(len(offsets) - 1), np.zeros(len(offsets) - 1, np.int64)
+        for live, c in self._steps(symbols, offsets, state):
+            total[live] += self.log_symbol[state[live], c]
+        return total + self.log_end[state]
+
+    def visits(self, symbols: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Per state, how often the strings go on by each symbol, and in the last column how often they end in it."""
+        found, state = np.zeros((len(self.next), self.symbols + 1), np.int64), np.zeros(len(offsets) - 1, np.int64)
+        for live, c in self._steps(symbols, offsets, state):
+            np.add.at(found, (state[live], c), 1)
+        np.add.at(found, (state, self.symbols), 1)
+        return found
+
+    def recount(self, visits: np.ndarray) -> None:
+        """Take probabilities from these counts; the states stay."""
+        shares = np.log((visits + 0.5) / (visits.sum(1, keepdims=True) + 0.5 * (self.symbols + 1)))
+        self.log_symbol, self.log_end = np.ascontiguousarray(shares[:, :-1]), shares[:, -1].copy()
+
+    def _steps(self, symbols: np.ndarray, offsets: np.ndarray, state: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Strings that have a next symbol, and that symbol, until all have ended; then moves their ``state`` on."""
         starts, sizes = offsets[:-1], np.diff(offsets)
-        order = np.argsort(-sizes, kind="stable")
-        state, total = np.zeros(len(sizes), np.int64), np.zeros(len(sizes))
-        live = order
+        live = np.argsort(-sizes, kind="stable")
         for i in range(int(sizes.max()) if len(sizes) else 0):
             live = live[: np.searchsorted(-sizes[live], -i, "left")]
             c = symbols[starts[live] + i]
-            total[live] += self.log_symbol[state[live], c]
+            yield live, c
             state[live] = self.next[state[live], c]
-        return total + self.log_end[state]

@@ -1,14 +1,15 @@
 """Secret scans by grammar inference: probabilistic automata of credential formats score every candidate.
 
 Base patterns find credentials by their surroundings or alphabet; they are the labelled examples.
-From a bounded sample of each kind (``SAMPLE`` strings of at most ``LONGEST`` characters, by hash)
-an automaton is inferred by state merging (``automata``), over classes of characters; another one
-comes from as many ordinary strings. A candidate is any run of 12 or more of the characters that
+The states of an automaton for each kind are inferred by state merging (``automata``), over classes of
+characters, and those of another one for ordinary strings; a bounded number of strings is enough to tell states
+apart (``SAMPLE`` of a kind of at most ``LONGEST`` characters, by hash). Their probabilities are counted over all
+different strings of half the hashes. A candidate is any run of 12 or more of the characters that
 credentials are made of, or what base matches leave of it, without the signs that joined them. It is a secret if its likelihood per character under a credential
 format is one that labelled credentials have, and exceeds that under the ordinary one by a
 margin, half way between the two, that ordinary strings do not reach (but for the highest fiftieth of them: there are secrets
-among unlabelled strings, too). Both limits are set on strings left out of the
-inference. Base matches always stay.
+among unlabelled strings, too). Both limits are set on all different strings of the other half of
+the hashes. Base matches always stay.
 
 Defined cases: null text is empty; without labelled examples only base matches are found;
 repeated rows get equal results; other columns are ignored. Places are code points.
@@ -18,11 +19,13 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +39,8 @@ ACCESS = re.compile(rb"AKIA[A-Z0-9]{14,}")
 NAMES = [b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key"]
 LEAST = {"assign": 12, "hex": 16, "inferred": 12}
 SAMPLE, LONGEST = 400, 256
+# Limits are found to this part of a unit of log likelihood per character.
+BINS = 1024
 
 _HEX = byte_set(b"0123456789abcdef")
 _TOKEN = byte_set(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
@@ -58,7 +63,10 @@ class Formats:
         size = ends - starts
         offsets = np.concatenate([[0], np.cumsum(size)])
         at = np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], size)
-        classes = _CLASS[data[at]]
+        return self.class_likelihoods(_CLASS[data[at]], offsets)
+
+    def class_likelihoods(self, classes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        size = np.diff(offsets)
         best = np.max([a.scores(classes, offsets) for a in self.secret], axis=0)
         return best / np.maximum(size, 1), (best - self.ordinary.scores(classes, offsets)) / np.maximum(size, 1)
 
@@ -156,33 +164,113 @@ def _examples(sample: int):
     return run
 
 
+def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """kind (as in ``_examples``), hash and character classes of every string of each block, once. Not the strings themselves."""
+    for _, data, offsets in blocks(batches):
+        base = base_spans(data, offsets)
+        ranges = [np.array([(at, end) for _, k, end, at in base if k == kind], np.int64).reshape(-1, 2).T for kind in range(3)]
+        for kind, (starts, ends) in enumerate([*ranges, candidates(data, offsets, base)]):
+            hashes, first = np.unique(range_hashes(data, starts, ends).astype(np.int64), return_index=True)
+            starts, ends = starts[first], ends[first]
+            places = np.concatenate([[0], np.cumsum(ends - starts)])
+            classes = _CLASS[data[np.arange(places[-1]) + np.repeat(starts - places[:-1], ends - starts)]].astype(np.uint8)
+            held = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(places.astype(np.int32)), pa.py_buffer(classes)])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(first), kind, np.int32)), pa.array(hashes), held], names=["kind", "hash", "classes"])
+
+
+def _by_kind(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """kind, classes and offsets of all strings of a kind in a block."""
+    for batch, data, offsets in blocks(batches, "classes"):
+        kinds = batch.column(0).to_numpy()
+        for kind in np.unique(kinds).tolist():
+            own = np.flatnonzero(kinds == kind)
+            sizes = (offsets[1:] - offsets[:-1])[own]
+            places = np.concatenate([[0], np.cumsum(sizes)])
+            yield kind, data[np.arange(places[-1]) + np.repeat(offsets[own] - places[:-1], sizes)].astype(np.int64), places
+
+
+def _visits(automata: dict[int, Automaton]):
+    """kind, cell of its table of visits, n: how often all strings of a task pass there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = {}
+        for kind, classes, offsets in _by_kind(batches):
+            if kind in automata:
+                total[kind] = total.get(kind, 0) + automata[kind].visits(classes, offsets)
+        for kind, found in total.items():
+            at = np.flatnonzero(found)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), kind, np.int32)), pa.array(at), pa.array(found.ravel()[at])], names=["kind", "at", "n"])
+
+    return run
+
+
+def _levels(formats: Formats):
+    """kind (0: own likelihoods of credentials, 1: their ratios, 2: ratios of ordinary strings), bin, n: all strings of a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: list[Counter] = [Counter(), Counter(), Counter()]
+        for kind, classes, offsets in _by_kind(batches):
+            own, ratio = formats.class_likelihoods(classes, offsets)
+            for which, values in [(2, ratio)] if kind == 3 else [(0, own), (1, ratio)]:
+                at, n = np.unique(np.floor(values * BINS).astype(np.int64), return_counts=True)
+                total[which].update(dict(zip(at.tolist(), n.tolist())))
+        for which, found in enumerate(total):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), which, np.int32)), pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())],
+                                             names=["kind", "at", "n"])
+
+    return run
+
+
+def _summed(strings: DataFrame, run) -> dict[int, dict[int, int]]:
+    """n by kind and place, over all tasks. The tables are as large as an automaton or the range of likelihoods, whatever the input."""
+    found: dict[int, dict[int, int]] = {}
+    for r in strings.mapInArrow(run, "kind int, at bigint, n bigint").groupBy("kind", "at").agg(F.sum("n").alias("n")).collect():
+        found.setdefault(r.kind, {})[r["at"]] = r.n
+    return found
+
+
+def _quantile(bins: dict[int, int], share: float) -> int:
+    """The bin that holds the value at this share of all."""
+    at = np.array(sorted(bins), np.int64)
+    below = np.cumsum([bins[i] for i in at.tolist()])
+    return int(at[np.searchsorted(below, share * (below[-1] - 1), "right")])
+
+
 def learn(docs: DataFrame, sample: int = SAMPLE) -> Formats | None:
-    """Automata of the credential kinds and of ordinary strings; ``sample`` different strings of each come to the driver.
+    """Automata of the credential kinds and of ordinary strings, with probabilities and limits from all strings.
 
-    The strings are not written to a table: each task passes on no more than ``sample`` of a kind, straight to the driver's query.
+    Only which states there are is found on ``sample`` different strings of each kind, which come to the driver. The
+    probabilities are counts over every different string with an even hash, and both limits are quantiles, to a
+    ``BINS``-th, over every one with an odd hash. Strings are not written to a table: each task passes on
+    ``sample`` of a kind, and of all others only classes of characters.
     """
-    strings = docs.select("text").mapInArrow(_examples(sample), "kind int, value binary, hash bigint").distinct()
+    texts = docs.select("text")
+    least = texts.mapInArrow(_examples(sample), "kind int, value binary, hash bigint").distinct()
     place = F.row_number().over(Window.partitionBy("kind").orderBy("hash", "value"))
     by_kind: list[list[bytes]] = [[] for _ in KINDS]
-    for r in strings.withColumn("_place", place).where(F.col("_place") <= sample).orderBy("kind", "_place").collect():
+    for r in least.withColumn("_place", place).where(F.col("_place") <= sample).orderBy("kind", "_place").collect():
         by_kind[r.kind].append(bytes(r.value))
-    coded = [[_CLASS[np.frombuffer(v, np.uint8)] for v in values] for values in by_kind]
-    if not coded[3] or not any(coded[:3]):
+    used = [[_CLASS[np.frombuffer(v, np.uint8)].tolist() for v in values[::2]] for values in by_kind]
+    if not used[3] or not any(used[:3]):
         return None
-    used = [[v.tolist() for v in values[::2]] for values in coded]
-    formats = Formats([Automaton(v, CLASSES) for v in used[:3] if v], Automaton(used[3], CLASSES))
-
-    def held_out(values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        ends = np.cumsum([len(v) for v in values]).astype(np.int64)
-        return formats.likelihoods(np.frombuffer(b"".join(values), np.uint8), ends - [len(v) for v in values], ends)
-
-    right, ordinary = [v for values in by_kind[:3] for v in values[1::2]], by_kind[3][1::2]
-    if not right or not ordinary:
+    automata = {kind: Automaton(v, CLASSES) for kind, v in enumerate(used) if v}
+    every = texts.mapInArrow(_strings, "kind int, hash bigint, classes binary").groupBy("kind", "hash").agg(F.min("classes").alias("classes"))
+    every = every.persist(StorageLevel.DISK_ONLY)
+    try:
+        fit, held_out = every.where("hash % 2 = 0").select("kind", "classes"), every.where("hash % 2 != 0").select("kind", "classes")
+        for kind, found in _summed(fit, _visits(automata)).items():
+            table = np.zeros((len(automata[kind].next), CLASSES + 1), np.int64)
+            table.ravel()[list(found)] = list(found.values())
+            automata[kind].recount(table)
+        formats = Formats([automata[kind] for kind in range(3) if kind in automata], automata[3])
+        levels = _summed(held_out, _levels(formats))
+    finally:
+        every.unpersist()
+    if len(levels) < 3:
         return None
-    own, ratio = held_out(right)
-    formats.least = float(np.quantile(own, 0.02)) - 0.01
-    high = float(np.quantile(held_out(ordinary)[1], 0.98))
-    formats.margin = max((high + float(np.quantile(ratio, 0.05))) / 2, high + 0.25, 0.25)
+    formats.least = _quantile(levels[0], 0.02) / BINS - 0.01
+    high = (_quantile(levels[2], 0.98) + 1) / BINS
+    formats.margin = max((high + _quantile(levels[1], 0.05) / BINS) / 2, high + 0.25, 0.25)
     return formats
 
 

@@ -102,3 +102,21 @@ def test_no_credential_is_written(spark):
     for kind in range(4):
         least = sorted(r.hash for r in every if r.kind == kind)[:20]
         assert sorted(r.hash for r in passed if r.kind == kind) == least
+
+
+def test_probabilities_and_limits_come_from_all_strings(spark):
+    """However few strings may go to the driver, all of them are counted."""
+    rng = np.random.default_rng(11)
+    pick = lambda letters, n: "".join(rng.choice(list(letters), n))
+    rows = [(i, f"token={pick('0123456789', 14)} {pick('aeioulnrst', 14)}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    held = docs.select("text").mapInArrow(secrets._strings, "kind int, hash bigint, classes binary").distinct().collect()
+    assert Counter(r.kind for r in held) == {0: 300, 3: 300}
+    few = secrets.learn(docs, 10)
+    for kind, automaton in ((0, few.secret[0]), (3, few.ordinary)):
+        even = [bytes(r.classes) for r in held if r.kind == kind and r.hash % 2 == 0]
+        assert len(even) > 100
+        visits = automaton.visits(np.frombuffer(b"".join(even), np.uint8).astype(np.int64), np.arange(0, 14 * len(even) + 1, 14))
+        assert visits.sum() == 15 * len(even)
+        wanted = np.log((visits + 0.5) / (visits.sum(1, keepdims=True) + 6))
+        assert np.allclose(np.column_stack([automaton.log_symbol, automaton.log_end]), wanted)
