@@ -1,0 +1,21 @@
+"""Blocks of text in tasks."""
+
+import pyarrow as pa
+
+from gradeweave.llm import textnum
+
+
+def test_memory_is_given_back_after_the_last_block(monkeypatch):
+    given = []
+    monkeypatch.setattr(textnum, "give_back", lambda: given.append(1))
+    batches = [pa.RecordBatch.from_arrays([pa.array(["ab", None, "cde"])], ["text"]) for _ in range(2)]
+    found = []
+    for _, data, offsets in textnum.blocks(iter(batches), limit=2):
+        assert not given
+        found.append((data.tobytes(), len(offsets) - 1))
+    assert given == [1]
+    assert b"".join(d for d, _ in found) == b"abcdeabcde" and sum(n for _, n in found) == 6
+
+
+def test_giving_back_is_harmless():
+    textnum.give_back()
