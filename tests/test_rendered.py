@@ -1,8 +1,10 @@
 """Report files written for the ingest queries, and the splits they are read back in."""
 
 import pytest
+from conftest import SF
 
 from gradeweave.sources import rendered
+from gradeweave.sources.derived import Derived
 from gradeweave.sources.rendered import small_splits
 from gradeweave.sources.reports import read_lines
 from gradeweave.sources.shared import stage
@@ -29,3 +31,8 @@ def test_rows_stored_by_a_column_are_whole(spark):
     kept = stage(spark.createDataFrame(rows, "a long, k string").coalesce(1), "by-k", by="k")
     assert sorted(map(tuple, kept.collect())) == rows
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+
+
+def test_enrolments_are_made_once_to_be_numbered(spark):
+    plan = Derived(spark, SF).enroll._jdf.queryExecution().optimizedPlan().toString()
+    assert "min(k" not in plan  # else once for the numbers and once for where ranges start
