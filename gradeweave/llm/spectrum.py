@@ -3,7 +3,8 @@
 An LDL' factorization of A - s counts the eigenvalues below s: by Sylvester's law the signs of D's
 blocks are those of A - s. Bisection on the counts isolates the wanted eigenvalue between two
 shifts, Rayleigh quotient iteration converges cubically to its pair, and two more counts, just
-under and just over the value found, certify its number. Equal or nearly equal eigenvalues cannot
+under and just over the value found, certify its number. Where a neighbour outside the interval drew
+the iteration to itself, the interval is halved and it starts again. Equal or nearly equal eigenvalues cannot
 be isolated; they share a certified interval, and their vectors are an orthonormal basis of its space.
 """
 
@@ -14,6 +15,8 @@ import numpy as np
 _EPS = np.finfo(float).eps
 #: Of Bunch and Parlett: keeps the growth of 1 x 1 and 2 x 2 pivots equal.
 _PIVOT = (1 + 17**0.5) / 8
+#: Times an interval is halved before the iteration starts again.
+NARROWER = 3
 
 
 def count_below(a: np.ndarray, shift: float) -> int:
@@ -90,23 +93,35 @@ def leading(a: np.ndarray, wanted: int) -> tuple[np.ndarray, np.ndarray]:
     tiny = 64 * n * _EPS * scale
     values, vectors = [], []
     counts = {-scale - tiny: 0, scale + tiny: n}  # Gershgorin: all lie between
+
+    def halved(low: float, high: float, number: int) -> tuple[float, float]:
+        middle = (low + high) / 2
+        counts[middle] = count_below(a, middle)
+        return (middle, high) if counts[middle] < number else (low, middle)
+
+    def certified(value: float, number: int) -> bool:
+        return count_below(a, value - tiny) < number <= count_below(a, value + tiny)
+
     while len(values) < wanted:
         number = n - len(values)  # counted from below
         low, high = max(s for s, c in counts.items() if c < number), min(s for s, c in counts.items() if c >= number)
         # a wide gap around the one eigenvalue makes the iteration's start a good one
         while (counts[high] - counts[low] > 1 or counts[high] != number or high - low > 0.05 * max(abs(low), abs(high))) and high - low > tiny:
-            middle = (low + high) / 2
-            counts[middle] = count_below(a, middle)
-            low, high = (middle, high) if counts[middle] < number else (low, middle)
+            low, high = halved(low, high, number)
         together = max(counts[high] - counts[low], 1) if high - low <= tiny else 1
         for _ in range(min(together, wanted - len(values))):
+            number = n - len(values)
             value, vector = _pair(a, low, high, vectors, scale, rng)
+            while not certified(value, number) and high - low > tiny:
+                # an eigenvalue just outside drew the iteration to itself: start nearer to the one inside
+                for _ in range(NARROWER):
+                    low, high = halved(low, high, number)
+                value, vector = _pair(a, low, high, vectors, scale, rng)
+            if not certified(value, number):
+                raise ArithmeticError(f"eigenvalue {value} is not number {n - number + 1}")
             vector = _outside(vector, vectors)
             values.append(value)
             vectors.append(vector * np.sign(vector[np.abs(vector).argmax()]))
-            i = n - len(values)
-            if not count_below(a, value - tiny) <= i < count_below(a, value + tiny):
-                raise ArithmeticError(f"eigenvalue {value} is not number {n - i}")
             counts[value - tiny] = count_below(a, value - tiny)
     order = np.argsort(-np.array(values), kind="stable")
     return np.array(values)[order], np.stack(vectors)[order]

@@ -83,6 +83,17 @@ def test_counts_and_pairs_of_many_matrices():
         assert np.abs(found @ found.T - np.eye(len(found))).max() < 1e-12
 
 
+def test_neighbours_just_outside_an_interval():
+    """Eigenvalues as near each other as those of many vectors without a direction of their own: an iteration may leave its interval."""
+    for d, seed in ((4, 11), (6, 19), (8, 12), (12, 34)):
+        g = np.random.default_rng(seed).standard_normal((d, d))
+        a = np.eye(d) + (g + g.T) / 1000
+        values, found = spectrum.leading(a, 4)
+        assert np.abs(values - np.linalg.eigvalsh(a)[::-1][:4]).max() < 1e-12
+        assert np.abs(a @ found.T - found.T * values).max() < 1e-12
+        assert np.abs(found @ found.T - np.eye(4)).max() < 1e-12
+
+
 def test_products_of_halves_are_whole():
     rng = np.random.default_rng(6)
     y = rng.integers(-(1 << 41), 1 << 41, (50, 3))
