@@ -15,6 +15,7 @@ Common prefixes are cut at ``limit``, and suffixes that agree that far stand tog
 from __future__ import annotations
 
 import os
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,7 +45,7 @@ class Queue:
     """Entries (suffix, common prefix) in order of arrival; blocks beyond the memory are on disk."""
 
     def __init__(self, disk: Disk):
-        self.disk, self.blocks = disk, []
+        self.disk, self.blocks = disk, deque()
 
     def put(self, at: np.ndarray, common: np.ndarray) -> None:
         for i in range(0, len(at), BLOCK):
@@ -71,9 +72,11 @@ class Queue:
         """The oldest entries, a block or so of them."""
         if not self.blocks:
             return None
-        got = [self._load(self.blocks.pop(0))]
-        while self.blocks and sum(len(a) for a, _ in got) < BLOCK // 4:
-            got.append(self._load(self.blocks.pop(0)))
+        got = [self._load(self.blocks.popleft())]
+        many = len(got[0][0])
+        while self.blocks and many < BLOCK // 4:
+            got.append(self._load(self.blocks.popleft()))
+            many += len(got[-1][0])
         return tuple(np.concatenate(x) for x in zip(*got)) if len(got) > 1 else got[0]
 
     def take_last(self) -> tuple[np.ndarray, np.ndarray] | None:
@@ -157,11 +160,12 @@ def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, limit: int) ->
             break
         x, y = a[live] + done, b[live] + done
         if text.dtype == np.uint8 and max(int(x.max()), int(y.max())) + 8 <= n:
-            windows = np.lib.stride_tricks.sliding_window_view(np.asarray(text), 8)
-            one, two = windows[x], windows[y]
-            alike = (one.view(np.uint64) == two.view(np.uint64)).ravel()
+            words = np.ndarray(n - 7, "<u8", np.asarray(text), strides=(1,))  # the eight bytes from each place, the first of them lowest
+            apart = words[x] ^ words[y]
+            alike = apart == 0
             out[live[alike]] += 8
-            out[live[~alike]] += (one[~alike] != two[~alike]).argmax(1)
+            apart = apart[~alike]
+            out[live[~alike]] += np.bitwise_count((apart & (~apart + np.uint64(1))) - np.uint64(1)) >> 3  # whole bytes below the lowest bit
             live = live[alike]
             continue
         same, going = np.zeros(len(live), np.int64), np.ones(len(live), bool)

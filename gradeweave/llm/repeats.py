@@ -4,7 +4,7 @@ Shards are made by content, so that equal strings meet in one of them. Each stri
 bytes is named by the least hash among its substrings of ``GRAM`` bytes; neighbouring starts mostly
 have the same name, and form one stretch. Stretches whose name comes only once in all documents
 hold no repeat. The others are gathered by name into shards, equal stretches once with the number
-of copies, and each shard is sorted by external induced sorting (``induced``): strings that share
+of copies, as many shards as their bytes need, and each shard is sorted by external induced sorting (``induced``): strings that share
 their first ``LENGTH`` bytes stand together in the order of its suffixes.
 
 A name with more than ``HOT`` different stretches (a passage in very many documents) is split: its
@@ -34,6 +34,8 @@ from gradeweave.sources.shared import shared_dir, stage
 
 LENGTH, GRAM = 200, 32
 HOT = 50_000
+#: Bytes of different stretches in a shard, about: its names are then sorted in memory (``induced.BASE``).
+SHARD = 8 << 20
 TEXT_KEY = ["k1", "k2"]
 
 
@@ -217,11 +219,17 @@ def _mark(text: np.ndarray, weights: np.ndarray, marks: np.ndarray, disk: Disk,
             pending, count = int(at[mine[0]]), count + int(weight[mine].sum(dtype=np.int64))
 
 
+def shards_of(size: int, least: int) -> int:
+    """How many shards stretches of ``size`` bytes make: more text is more shards, not larger ones, however few partitions a shuffle has."""
+    return max(least, -(-size // SHARD))
+
+
 def repeated_ranges(texts: DataFrame, length: int, hot: int) -> DataFrame:
     """Per text with repeats: k1, k2 and ranges (low, high) of starts of strings that also start elsewhere."""
     spark = texts.sparkSession
     found = _split_hot(stage(_repeated(stage(stretches(texts, length), "all-stretches")), "stretches"), texts, length, hot)
-    kinds = found.groupBy("name", "body").agg(F.sum("copies").alias("copies"), F.min(F.struct("k1", "k2", "first", "starts")).alias("one"))
+    kinds = stage(found.groupBy("name", "body").agg(F.sum("copies").alias("copies"), F.min(F.struct("k1", "k2", "first", "starts")).alias("one")), "different-stretches")
+    size = kinds.agg(F.sum((F.col("one.starts") + (length - 1)).cast("bigint"))).first()[0] or 0
     wanted = kinds.groupBy("one.k1", "one.k2").agg(F.collect_list(F.struct("name", "body", "copies", "one.first", "one.starts")).alias("cut"))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,7 +242,7 @@ def repeated_ranges(texts: DataFrame, length: int, hot: int) -> DataFrame:
                                                  names=["name", "body", "copies", "text"])
 
     gathered = texts.join(wanted.hint("shuffle_hash"), TEXT_KEY).select("text", "cut").mapInArrow(extract, "name bigint, body bigint, copies bigint, text binary")
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = shards_of(size, int(spark.conf.get("spark.sql.shuffle.partitions")))
     marked = stage(gathered.repartition(shards, "name").mapInArrow(_sort_shard(length), "name bigint, body bigint, low array<int>, high array<int>"), "repeats")
     moved = lambda c: F.transform(c, lambda x: x + F.col("first"))
     return (

@@ -89,3 +89,43 @@ def test_order_and_common_prefixes(tmp_path, monkeypatch, memory, base, block):
             x, y = b[at[k - 1] :], b[at[k] :]
             assert x[:limit] >= y[:limit]
             assert shared[k] == common(x, y, limit)
+
+
+def test_shards_follow_the_bytes_of_stretches(spark, monkeypatch):
+    assert repeats.shards_of(10, 200) == 200 and repeats.shards_of(6 << 30, 200) == (6 << 30) // repeats.SHARD
+    rng = np.random.default_rng(8)
+    passages = ["".join(rng.choice(list("abcde "), 300)) for _ in range(20)]
+    docs = spark.createDataFrame([(i, "".join(rng.choice(passages, 2)) + str(i)) for i in range(60)], "doc_id long, text string")
+    want, dealt, frame = sorted(repeats.suffix_dedup(docs).collect()), [], type(docs)
+    repartition = frame.repartition
+    monkeypatch.setattr(repeats, "SHARD", 1 << 10)
+    monkeypatch.setattr(frame, "repartition", lambda df, n, *by: dealt.append((n, *by)) or repartition(df, n, *by))
+    assert sorted(repeats.suffix_dedup(docs).collect()) == want
+    assert max(n for n, *by in dealt if by == ["name"]) > 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_a_queue_of_many_small_blocks_is_taken_in_one_pass(tmp_path):
+    class Counted(np.ndarray):
+        lengths = 0
+
+        def __len__(self):
+            Counted.lengths += 1
+            return super().__len__()
+
+    queue = induced.Queue(induced.Disk(str(tmp_path)))
+    for i in range(2000):
+        queue.put(np.array([i]).view(Counted), np.zeros(1, np.uint8))
+    assert [*queue.take()[0]] == [*range(2000)]
+    assert Counted.lengths < 10 * 2000
+
+
+def test_common_prefixes_of_bytes():
+    rng = np.random.default_rng(9)
+    text = rng.integers(0, 2, 5000).astype(np.uint8)
+    text[1000:1300], text[-40:] = text[2000:2300], text[3000:3040]
+    a, b = rng.integers(0, 4900, 3000), rng.integers(0, 4900, 3000)
+    a[:9], b[:9] = [1000, 1001, 1290, 4960, 4960, 0, 4999, 4992, 1003], [2000, 2001, 2290, 3000, 3000, 0, 3039, 3032, 2003]
+    for x, y, n in zip(a, b, induced.common_prefix(text, a, b, 200)):
+        p, q = text[x : x + 200], text[y : y + 200]
+        m = min(len(p), len(q))
+        assert n == (m if (p[:m] == q[:m]).all() else (p[:m] != q[:m]).argmax())
